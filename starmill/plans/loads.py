@@ -66,24 +66,23 @@ def load(spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame, mo
     """
     parsed = cleaning.parse(mart.spec.canonicalize(raw), mart.spec)
     path = shared.new_path(spark, f"clean-{mart.name}")
-    clean = shared.materialize(cleaning.last_complete(parsed), path)
-
-    run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
-    dims = _load_dims(run, mart, clean)
-    _load_fact(run, mart, clean, dims)
-
-    seen = cleaning.tally(parsed, mart.spec).first()
-    kept = clean.count()
-    report = LoadReport(
-        run=run.publish(),
-        raw=seen.raw_rows,
-        rejected=seen.rejected_rows,
-        superseded=seen.raw_rows - seen.rejected_rows - kept,
-        clean=kept,
-        rejected_by_reason={c: seen[f"lacking_{c}"] for c in mart.spec.required},
-    )
-    shared.discard(spark, path)
-    return report
+    try:
+        clean = shared.materialize(cleaning.last_complete(parsed), path)
+        run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
+        dims = _load_dims(run, mart, clean)
+        _load_fact(run, mart, clean, dims)
+        seen = cleaning.tally(parsed, mart.spec).first()
+        kept = clean.count()
+        return LoadReport(
+            run=run.publish(),
+            raw=seen.raw_rows,
+            rejected=seen.rejected_rows,
+            superseded=seen.raw_rows - seen.rejected_rows - kept,
+            clean=kept,
+            rejected_by_reason={c: seen[f"lacking_{c}"] for c in mart.spec.required},
+        )
+    finally:
+        shared.discard(spark, path)
 
 
 def _load_dims(run: Run, mart: Mart, clean: DataFrame) -> dict[str, DataFrame]:

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starmill import contracts
+from starmill import contracts, staging
 from starmill.config import MartConfig
 from starmill.contracts import FACT_MARKETING, FACT_SALES
 from starmill.functions import numbers
 from starmill.operators import checks, cleaning, dimensions, facts
 from starmill.operators.upsert import upsert
 from starmill.plans import loads, marketing_marts, revenue_marts
-from starmill.sources import shared, testdata
+from starmill.sources import shared
 from starmill.sources.headers import ORDINAL
 from starmill.sources.warehouse import Warehouse
 from starmill.staging import clean_marketing, clean_sales
@@ -26,11 +26,11 @@ TIGHT_MONEY = T.DecimalType(7, 2)
 
 
 def _raw_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.REVENUE.canonicalize(testdata.raw_sales(spark, sf))
+    return cleaning.REVENUE.canonicalize(staging.raw_sales(spark, sf))
 
 
 def _raw_marketing(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.MARKETING.canonicalize(testdata.raw_marketing(spark, sf))
+    return cleaning.MARKETING.canonicalize(staging.raw_marketing(spark, sf))
 
 
 def _sales_fact(spark: SparkSession, sf: str, part: str = "all") -> DataFrame:
@@ -125,7 +125,7 @@ def _warehouse(spark: SparkSession, mart: str) -> MartConfig:
 def revenue_load(spark: SparkSession, sf: str) -> DataFrame:
     """Both sales deliveries loaded one after the other; the published fact."""
     config = _warehouse(spark, "revenue")
-    for batch in testdata.sales_batches(testdata.raw_sales(spark, sf)):
+    for batch in staging.sales_deliveries(spark, sf):
         loads.load(spark, config, loads.REVENUE, batch)
     return Warehouse(spark, config).read(FACT_SALES)
 
@@ -134,7 +134,7 @@ def marketing_load(spark: SparkSession, sf: str) -> DataFrame:
     """The marketing table loaded twice, which must change nothing; the published fact."""
     config = _warehouse(spark, "marketing")
     for _ in range(2):
-        loads.load(spark, config, loads.MARKETING, testdata.raw_marketing(spark, sf))
+        loads.load(spark, config, loads.MARKETING, staging.raw_marketing(spark, sf))
     return Warehouse(spark, config).read(FACT_MARKETING).drop("created_at")
 
 

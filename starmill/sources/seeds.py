@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.contracts import DIM_STAGE
 
@@ -40,4 +40,5 @@ OTHER_CAMPAIGN = "Other"
 
 
 def stage_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STAGES, DIM_STAGE.schema)
+    rows = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, DIM_STAGE.names, strict=True)]) for row in STAGES]
+    return spark.range(1).select(F.inline(F.array(*rows)))

@@ -38,8 +38,19 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def state_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Change time, size and number of files of a table, from its listing alone."""
+    files, target = _file_system(spark, path)
+    summary = files.getContentSummary(target)
+    return files.getFileStatus(target).getModificationTime(), summary.getLength(), summary.getFileCount()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table made by this session."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

@@ -59,7 +59,8 @@ class Warehouse:
 
     def scan(self, table: Table, folders: Sequence[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], table.schema)
+            columns = [F.lit(None).cast(c.dtype).alias(c.name) for c in table.columns]
+            return self.spark.range(0).select(*columns)
         return self.spark.read.schema(table.schema).parquet(*folders)
 
     def start(self, rebuild: bool = False) -> Run:
@@ -94,8 +95,11 @@ class Run:
         self.after[self.config.table(table.name)] = {_WHOLE: path}
         return self.warehouse.scan(table, [path])
 
+    def slice_of(self, key: str, files: int = 1) -> Column:
+        return F.expr(f"`{key}` div {self.config.orders_per_file * files}")
+
     def bucket_of(self, key: str) -> Column:
-        slices = F.floor(F.col(key) / F.lit(self.config.orders_per_file * self.config.files_per_bucket))
+        slices = self.slice_of(key, self.config.files_per_bucket)
         return F.pmod(slices, F.lit(self.config.buckets)).cast("int")
 
     def touched(self, batch: DataFrame, key: str) -> list[int]:
@@ -111,7 +115,7 @@ class Run:
         path = self._path(table)
         (
             df.select(*table.names, self.bucket_of(table.key).alias("bucket"))
-            .repartition(F.floor(F.col(table.key) / F.lit(self.config.orders_per_file)))
+            .repartition(self.slice_of(table.key))
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(path)

@@ -1,11 +1,17 @@
-"""Clean frames of the test tables, written once per session and set of input files."""
+"""Tables the registered queries share, written once per session and state of the input files.
+
+The wide raw tables stand for the staging area a load starts from. The clean frames are what a load
+writes before it builds dimensions and facts. Both live in the shared folder, so losing an executor
+loses nothing, and every query reads only its own columns of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from starmill.operators import cleaning
-from starmill.operators.cleaning import CleanSpec
 from starmill.sources import shared, testdata
 
 SALES_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
@@ -14,30 +20,46 @@ MARKETING_TABLES = ("events",)
 _written: dict[tuple, DataFrame] = {}
 
 
-def _state_of(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
-    """Newest change, size and number of the input files, from their listing alone."""
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in tables])
-    return tuple(files.agg(F.max("modificationTime"), F.sum("length"), F.count("*")).first())
-
-
-def _clean_once(
-    spark: SparkSession, sf_dir: str, spec: CleanSpec, tables: tuple[str, ...], raw: DataFrame, part: str
+def _once(
+    spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build: Callable[[], DataFrame]
 ) -> DataFrame:
-    key = (spark.conf.get("spark.app.id"), sf_dir, tables, part, _state_of(spark, sf_dir, tables))
+    state = tuple(shared.state_of(spark, f"{sf_dir}/{t}.parquet") for t in tables)
+    key = (spark.conf.get("spark.app.id"), sf_dir, name, state)
     if key not in _written:
-        rows = cleaning.clean(spec.canonicalize(raw), spec)
-        _written[key] = shared.materialize(rows, shared.new_path(spark, f"clean-{part}"))
+        _written[key] = shared.materialize(build(), shared.new_path(spark, name))
     return _written[key]
 
 
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "raw-sales", SALES_TABLES, lambda: testdata.raw_sales(spark, sf_dir))
+
+
+def raw_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(
+        spark, sf_dir, "raw-marketing", MARKETING_TABLES, lambda: testdata.raw_marketing(spark, sf_dir)
+    )
+
+
+def sales_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return testdata.sales_batches(raw_sales(spark, sf_dir))
+
+
 def clean_sales(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
     """Clean sales rows of all raw rows, or of the ``early`` or ``late`` delivery."""
-    raw = testdata.raw_sales(spark, sf_dir)
-    if part != "all":
-        raw = testdata.sales_batches(raw)[part == "late"]
-    return _clean_once(spark, sf_dir, cleaning.REVENUE, SALES_TABLES, raw, part)
+
+    def build() -> DataFrame:
+        if part == "all":
+            raw = raw_sales(spark, sf_dir)
+        else:
+            raw = sales_deliveries(spark, sf_dir)[part == "late"]
+        return cleaning.clean(cleaning.REVENUE.canonicalize(raw), cleaning.REVENUE)
+
+    return _once(spark, sf_dir, f"clean-sales-{part}", SALES_TABLES, build)
 
 
 def clean_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testdata.raw_marketing(spark, sf_dir)
-    return _clean_once(spark, sf_dir, cleaning.MARKETING, MARKETING_TABLES, raw, "all")
+    def build() -> DataFrame:
+        raw = raw_marketing(spark, sf_dir)
+        return cleaning.clean(cleaning.MARKETING.canonicalize(raw), cleaning.MARKETING)
+
+    return _once(spark, sf_dir, "clean-marketing", MARKETING_TABLES, build)
