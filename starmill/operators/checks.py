@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starmill.contracts import Table
 from starmill.operators.cleaning import OVERFLOW
@@ -26,53 +26,52 @@ class ContractViolation(Exception):
         super().__init__("; ".join(lines))
 
 
-def _tally(df: DataFrame, key: str, tests: list[tuple[str, str, Column]]) -> DataFrame:
+# A test: constraint, column, and the SQL condition of a violating row.
+Test = tuple[str, str, str]
+
+
+def _tally(df: DataFrame, key: str, tests: list[Test]) -> DataFrame:
     """Count the rows meeting each test in one aggregate, then turn the single row into one row per test."""
-    totals = [F.count_if(cond).alias(f"n{i}") for i, (_, _, cond) in enumerate(tests)]
-    samples = [F.min(F.when(cond, F.col(key))).alias(f"k{i}") for i, (_, _, cond) in enumerate(tests)]
+    totals = [F.expr(f"count_if({cond}) AS n{i}") for i, (_, _, cond) in enumerate(tests)]
+    samples = [F.expr(f"min(CASE WHEN {cond} THEN {key} END) AS k{i}") for i, (_, _, cond) in enumerate(tests)]
     rows = [
-        F.struct(
-            F.lit(constraint).alias("constraint"),
-            F.lit(column).alias("column"),
-            F.col(f"n{i}").alias("n_violations"),
-            F.col(f"k{i}").cast("string").alias("sample_key"),
-        )
+        f"struct('{constraint}' AS constraint, '{column}' AS column, n{i} AS n_violations, "
+        f"CAST(k{i} AS STRING) AS sample_key)"
         for i, (constraint, column, _) in enumerate(tests)
     ]
-    return df.agg(*totals, *samples).select(F.inline(F.array(*rows)))
+    return df.agg(*totals, *samples).select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
-def not_null_tests(table: Table) -> list[tuple[str, str, Column]]:
-    return [("not_null", c.name, F.col(c.name).isNull()) for c in table.columns if c.required]
+def not_null_tests(table: Table) -> list[Test]:
+    return [("not_null", c.name, f"{c.name} IS NULL") for c in table.columns if c.required]
 
 
-def length_tests(table: Table) -> list[tuple[str, str, Column]]:
+def length_tests(table: Table) -> list[Test]:
     return [
-        ("max_length", c.name, F.char_length(c.name) > c.max_length) for c in table.columns if c.max_length
+        ("max_length", c.name, f"char_length({c.name}) > {c.max_length}") for c in table.columns if c.max_length
     ]
 
 
-def overflow_tests(columns: list[str]) -> list[tuple[str, str, Column]]:
+def overflow_tests(columns: list[str]) -> list[Test]:
     """On parsed or clean rows, whose ``_overflow`` lists the columns that did not fit."""
-    return [
-        ("precision", c, F.find_in_set(F.lit(c), OVERFLOW) > 0) for c in columns
-    ]
+    return [("precision", c, f"find_in_set('{c}', {OVERFLOW}) > 0") for c in columns]
 
 
-def generated_tests() -> list[tuple[str, str, Column]]:
+def generated_tests() -> list[Test]:
     """Computed marketing columns that came out NULL although their inputs give a value."""
-
-    def lost(result: str, top: str, bottom: str) -> Column:
-        return F.col(result).isNull() & F.col(top).isNotNull() & (F.col(bottom) != 0)
-
+    lost = "{} IS NULL AND {} IS NOT NULL AND {} <> 0"
     return [
-        ("precision", "target_gap", F.col("target_gap").isNull()),
-        ("precision", "target_achievement_rate", lost("target_achievement_rate", "revenue", "target")),
-        ("precision", "roi_marketing_calc", lost("roi_marketing_calc", "profit", "budget")),
+        ("precision", "target_gap", "target_gap IS NULL"),
+        (
+            "precision",
+            "target_achievement_rate",
+            lost.format("target_achievement_rate", "revenue", "target"),
+        ),
+        ("precision", "roi_marketing_calc", lost.format("roi_marketing_calc", "profit", "budget")),
     ]
 
 
-def check_rows(df: DataFrame, table: Table, tests: list[tuple[str, str, Column]] | None = None) -> DataFrame:
+def check_rows(df: DataFrame, table: Table, tests: list[Test] | None = None) -> DataFrame:
     """K2 and K4 of a table, or the given tests, in one pass."""
     return _tally(df, table.key, not_null_tests(table) + length_tests(table) if tests is None else tests)
 

@@ -11,7 +11,7 @@ from starmill.sources.headers import ORDINAL
 
 def distinct_names(clean: DataFrame, column: str, key: str) -> DataFrame:
     """The distinct non-null names of a column."""
-    return clean.select(F.col(column).alias(key)).dropna().distinct()
+    return clean.filter(F.col(column).isNotNull()).select(F.col(column).alias(key)).distinct()
 
 
 def date_dim(clean: DataFrame) -> DataFrame:

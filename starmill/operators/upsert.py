@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def upsert(
@@ -53,6 +53,34 @@ def _keep_first(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     return merged.select(key, *[F.coalesce(c, f"_new_{c}").alias(c) for c in columns])
 
 
+def merge_clustered(
+    current: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    cluster: Column,
+    insert_only: tuple[str, ...] = (),
+) -> DataFrame:
+    """``update`` for a large batch into a table that is written by ``cluster``, a function of the key.
+
+    A join would shuffle the existing rows by key and the write shuffle them again by cluster. Here
+    both sides are clustered once; the window that prefers the batch's row needs no second exchange,
+    because rows of one key share a cluster, and the result is ready to be written.
+    """
+    both = current.withColumn("_new", F.lit(False)).unionByName(incoming.withColumn("_new", F.lit(True)))
+    newest_first = Window.partitionBy("_cluster", key).orderBy(F.desc("_new"))
+    ranked = (
+        both.withColumn("_cluster", cluster)
+        .repartition("_cluster")
+        .select(
+            "*",
+            F.row_number().over(newest_first).alias("_nth"),
+            *[F.lead(c).over(newest_first).alias(f"_kept_{c}") for c in insert_only],
+        )
+    )
+    columns = [F.coalesce(f"_kept_{c}", c).alias(c) if c in insert_only else c for c in current.columns]
+    return ranked.filter("_nth = 1").select(*columns)
+
+
 def changed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Keys whose row differs between two states, NULL-safe; used to show a rerun changes nothing."""
     columns = [c for c in before.columns if c != key]

@@ -13,7 +13,7 @@ from starmill.config import MartConfig
 from starmill.contracts import Table
 from starmill.operators import checks, cleaning, dimensions, facts
 from starmill.operators.cleaning import CleanSpec
-from starmill.operators.upsert import upsert
+from starmill.operators.upsert import merge_clustered, upsert
 from starmill.sources import shared
 from starmill.sources.warehouse import Run, Warehouse
 
@@ -114,6 +114,9 @@ def _load_fact(run: Run, mart: Mart, clean: DataFrame, dims: dict[str, DataFrame
         batch = batch.select("*", *[F.localtimestamp().alias(c) for c in table.insert_only])
     buckets = run.touched(batch, table.key)
     current = run.current(table, buckets)
-    if current is not None:
-        batch = upsert(current, batch, table.key, table.policy, table.insert_only)
-    run.write_buckets(table, batch, buckets)
+    slices = run.slice_of(table.key)
+    if current is None:
+        rows = batch.repartition(slices)
+    else:
+        rows = merge_clustered(current, batch, table.key, slices, table.insert_only)
+    run.write_buckets(table, rows, buckets)

@@ -156,17 +156,17 @@ def not_null_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 def length_violations(spark: SparkSession, sf: str) -> DataFrame:
     """Texts over a tightened length limit."""
-    tight = [
-        ("max_length", c.name, F.char_length(c.name) > TIGHT_LENGTH) for c in FACT_SALES.columns if c.max_length
-    ]
+    texts = [c.name for c in FACT_SALES.columns if c.max_length]
+    tight = [("max_length", c, f"char_length({c}) > {TIGHT_LENGTH}") for c in texts]
     return checks.check_rows(_sales_fact(spark, sf), FACT_SALES, tight)
 
 
 def numeric_overflow(spark: SparkSession, sf: str) -> DataFrame:
     """Raw numbers over a tightened precision."""
-    raw = _raw_sales(spark, sf).withColumn("order_id", numbers.to_order_id(F.col("order_id")))
-    tight = [("precision", c, numbers.overflows(F.col(c), TIGHT_MONEY)) for c in cleaning.REVENUE.numbers]
-    return checks.check_rows(raw, FACT_SALES, tight)
+    raw = _raw_sales(spark, sf)
+    flags = [numbers.overflows(F.col(c), TIGHT_MONEY).alias(c) for c in cleaning.REVENUE.numbers]
+    rows = raw.select(numbers.to_order_id(F.col("order_id")).alias("order_id"), *flags)
+    return checks.check_rows(rows, FACT_SALES, [("precision", c, c) for c in cleaning.REVENUE.numbers])
 
 
 def declared_contract(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,9 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
+        # A load compiles a few hundred small classes; the default of 100 evicts them before the
+        # next load can reuse them.
+        "spark.sql.codegen.cache.maxEntries": "2000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmill.config import MartConfig
 from starmill.contracts import Table
+from starmill.sources import shared
 
 _WHOLE = -1
-_MANIFEST = "run INT, table STRING, bucket INT, path STRING"
+_ENTRY = "table STRING, bucket INT, path STRING, layout STRING"
 
 
 class Warehouse:
@@ -37,21 +38,46 @@ class Warehouse:
         self.config = config
         self.base = f"{config.root}/{config.mart}"
 
-    def published(self) -> tuple[int, dict[str, dict[int, str]]]:
-        """Newest run and, per table, bucket -> folder. At most one entry per table and bucket."""
+    def _manifest(self) -> DataFrame | None:
         try:
-            manifest = self.spark.read.schema(_MANIFEST).parquet(f"{self.base}/manifest")
+            return self.spark.read.schema(f"run INT, {_ENTRY}").parquet(f"{self.base}/manifest")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def published(self) -> tuple[int, dict[str, dict[int, str]]]:
+        """Newest run and, per table, bucket -> folder. At most one entry per table and bucket."""
+        manifest = self._manifest()
+        if manifest is None:
             return 0, {}
         newest = manifest.agg(F.max("run")).scalar()
         rows = manifest.filter(F.col("run") == newest).collect()
         tables: dict[str, dict[int, str]] = {}
         for r in rows:
             tables.setdefault(r.table, {})[r.bucket] = r.path
+            if r.layout != self.layout:
+                raise ValueError(f"{r.table} is cut as {r.layout}, the configuration says {self.layout}")
         return (rows[0].run if rows else 0), tables
 
+    @property
+    def layout(self) -> str:
+        """How ids map to buckets. It has to stay the same while a mart lives, or keys would move."""
+        c = self.config
+        return f"{c.orders_per_file}x{c.files_per_bucket}/{c.buckets}"
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the data folders that none of the last ``keep`` runs uses; call when no reader is older."""
+        manifest = self._manifest()
+        if manifest is None:
+            return []
+        oldest = manifest.agg(F.max("run") - keep + 1).scalar()
+        used = manifest.groupBy("path").agg(F.max("run").alias("last_run"))
+        dead = sorted(r.path for r in used.filter(F.col("last_run") < oldest).collect())
+        for path in dead:
+            shared.discard(self.spark, path)
+        return dead
+
     def read(self, table: Table) -> DataFrame:
         """The published rows of a table; empty before the first run."""
         _, tables = self.published()
@@ -109,24 +135,20 @@ class Run:
     def write_buckets(self, table: Table, df: DataFrame, buckets: Sequence[int]) -> None:
         """Write the given buckets of a fact table; its other buckets keep their folders.
 
-        Rows are clustered by slice of ids. That needs no sampling pass, and since ids are unique
-        no slice can be larger than another.
+        ``df`` comes clustered by ``slice_of`` the key, so a task writes whole slices. Clustering by
+        slice needs no sampling pass, and since ids are unique no slice can outgrow the others.
         """
         path = self._path(table)
-        (
-            df.select(*table.names, self.bucket_of(table.key).alias("bucket"))
-            .repartition(self.slice_of(table.key))
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(path)
-        )
+        rows = df.select(*table.names, self.bucket_of(table.key).alias("bucket"))
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
         kept = self.after.setdefault(self.config.table(table.name), {})
         kept.update({b: f"{path}/bucket={b}" for b in buckets})
 
     def publish(self) -> int:
-        rows = [(t, b, p) for t, folders in self.after.items() for b, p in folders.items()]
+        layout = self.warehouse.layout
+        rows = [(t, b, p, layout) for t, folders in self.after.items() for b, p in folders.items()]
         (
-            self.warehouse.spark.createDataFrame(rows, "table STRING, bucket INT, path STRING")
+            self.warehouse.spark.createDataFrame(rows, _ENTRY)
             .coalesce(1)
             .write.mode("errorifexists")
             .parquet(f"{self.warehouse.base}/manifest/run={self.number}")

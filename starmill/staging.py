@@ -20,24 +20,41 @@ MARKETING_TABLES = ("events",)
 _written: dict[tuple, DataFrame] = {}
 
 
+# Inputs smaller than this per core may sit in a single row group, which only one task can read.
+SMALL_PER_CORE = 16 << 20
+
+
 def _once(
-    spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build: Callable[[], DataFrame]
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    tables: tuple[str, ...],
+    build: Callable[[], DataFrame],
+    spread: bool = False,
 ) -> DataFrame:
     state = tuple(shared.state_of(spark, f"{sf_dir}/{t}.parquet") for t in tables)
     key = (spark.conf.get("spark.app.id"), sf_dir, name, state)
     if key not in _written:
-        _written[key] = shared.materialize(build(), shared.new_path(spark, name))
+        df = build()
+        cores = spark.sparkContext.defaultParallelism
+        if spread and sum(size for _, size, _ in state) < cores * SMALL_PER_CORE:
+            df = df.repartition(cores)
+        _written[key] = shared.materialize(df, shared.new_path(spark, name))
     return _written[key]
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "raw-sales", SALES_TABLES, lambda: testdata.raw_sales(spark, sf_dir))
+    def build() -> DataFrame:
+        return testdata.raw_sales(spark, sf_dir)
+
+    return _once(spark, sf_dir, "raw-sales", SALES_TABLES, build, spread=True)
 
 
 def raw_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(
-        spark, sf_dir, "raw-marketing", MARKETING_TABLES, lambda: testdata.raw_marketing(spark, sf_dir)
-    )
+    def build() -> DataFrame:
+        return testdata.raw_marketing(spark, sf_dir)
+
+    return _once(spark, sf_dir, "raw-marketing", MARKETING_TABLES, build, spread=True)
 
 
 def sales_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,6 @@
 import datetime
 import warnings
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -73,6 +74,22 @@ def test_only_buckets_of_the_batch_are_rewritten(spark, config):
     assert moved == {0}
 
 
+def test_changed_layout_is_refused(spark, config):
+    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST))
+    with pytest.raises(ValueError, match="cut as 10x2/8"):
+        loads.load(spark, replace(config, orders_per_file=20), loads.REVENUE, raw(spark, SALES, SECOND))
+
+
+def test_vacuum_deletes_only_unused_folders(spark, config):
+    for i in range(3):
+        loads.load(spark, config, loads.REVENUE, raw(spark, SALES, SECOND if i else FIRST))
+    warehouse = Warehouse(spark, config)
+    dead = warehouse.vacuum(keep=1)
+    assert dead and not any("bucket=5" in p for p in dead)
+    assert warehouse.read(FACT_SALES).count() == 4
+    assert warehouse.vacuum(keep=1) == dead
+
+
 def test_rerun_changes_nothing(spark, config):
     batch = raw(spark, SALES, FIRST)
     loads.load(spark, config, loads.REVENUE, batch)

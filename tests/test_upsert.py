@@ -1,7 +1,8 @@
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from starmill.operators.upsert import changed, upsert
+from starmill.operators.upsert import changed, merge_clustered, upsert
 
 SCHEMA = "k LONG, a STRING, b STRING"
 
@@ -40,6 +41,14 @@ def test_insert_only_columns_survive_an_update(spark):
     assert got == {1: (None, "x"), 9: ("keep", None), 2: ("new", None), 3: ("fill", "y")}
 
 
+def test_clustered_merge_shuffles_once_and_keeps_insert_only_columns(spark):
+    sides = frame(spark, CURRENT), frame(spark, INCOMING)
+    merged = merge_clustered(*sides, "k", F.expr("k div 2"), insert_only=("b",))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert as_dict(merged) == {1: (None, "x"), 9: ("keep", None), 2: ("new", None), 3: ("fill", "y")}
+
+
 def test_unknown_policy(spark):
     with pytest.raises(ValueError, match="unknown policy"):
         upsert(frame(spark, CURRENT), frame(spark, INCOMING), "k", "merge")
@@ -79,4 +88,6 @@ def test_against_plain_dictionaries(spark, current, incoming):
         once = upsert(frame(spark, current), frame(spark, incoming), "k", policy)
         assert as_dict(once) == rows
         if policy == "update":
+            merged = merge_clustered(frame(spark, current), frame(spark, incoming), "k", F.expr("k div 2"))
+            assert as_dict(merged) == rows
             assert as_dict(upsert(once, frame(spark, incoming), "k", policy)) == rows
