@@ -1,9 +1,9 @@
 """Date parsing (C1, C2) and the supported span of dates.
 
-A value is rewritten to year-month-day text by one replacement that knows all common shapes, and
-then cast. The cast is a plain byte scan that yields NULL on bad input, where a formatter per
-candidate pattern would raise and catch an exception for every pattern that does not fit. Nearly
-all values cost one regular expression; the others fall through to rarer readings.
+A value is rewritten to year-month-day text and then cast: the two commonest shapes by position, the
+other all-digit shapes by one replacement that knows them all, the rest by rarer readings. The cast
+is a plain byte scan that yields NULL on bad input, where a formatter per candidate pattern would
+raise and catch an exception for every pattern that does not fit.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import datetime
 
 from pyspark.sql import Column, functions as F
 
-from starmill.functions.text import strip
-
 # The span a nanosecond timestamp covers; dates outside it count as unreadable.
 # The span also bounds dim_date (about 214,000 days) and every per-month result.
 FIRST_DATE = "1677-09-22"
@@ -67,6 +65,19 @@ def _numeric(text: Column, pattern: str, reading: str) -> Column:
     return F.regexp_replace(text, pattern, reading).try_cast("date")
 
 
+def _fixed_width(text: Column) -> Column:
+    """The two commonest shapes, yyyy-MM-dd and dd/MM/yyyy, by position and without a pattern."""
+
+    def at(position: int, length: int = 1) -> Column:
+        return F.substring(text, position, length)
+
+    iso = (at(5) == "-") & (at(8) == "-")
+    day_first = at(3).isin("/", "-", ".") & (at(6) == at(3))
+    turned = F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2))
+    ten_digits = F.when(iso, text).when(day_first, turned)
+    return F.when(F.length(text) == 10, ten_digits).try_cast("date")
+
+
 def _partial_or_short(text: Column, day: str, month: str) -> Column:
     """Dates without a day or without a century."""
     rules = [
@@ -94,24 +105,39 @@ def _named_month(text: Column) -> Column:
 
 
 def _rare(text: Column) -> Column:
-    """Shapes outside the common ones, reached only by values that nothing else could read."""
-    digits = F.coalesce(_partial_or_short(text, "$1", "$3"), _partial_or_short(text, "$3", "$1"))
-    return F.when(text.rlike("[A-Za-z]{3}"), _named_month(text)).otherwise(digits)
+    """Shapes outside the common ones, reached only by values that nothing else could read.
+
+    Their many patterns sit in an array expression, which Spark evaluates without generating code.
+    In line they would make the generated method of the whole row too large for the JVM to compile.
+    """
+
+    def read(value: Column) -> Column:
+        digits = F.coalesce(_partial_or_short(value, "$1", "$3"), _partial_or_short(value, "$3", "$1"))
+        return F.when(value.rlike("[A-Za-z]{3}"), _named_month(value)).otherwise(digits)
+
+    return F.transform(F.array(text), read)[0]
+
 
+def parse_date_mixed(text: Column) -> Column:
+    """Each value on its own, day first, month first where that is the only reading.
 
-def parse_date_mixed(col: Column) -> Column:
-    """Each value on its own, day first, month first where that is the only reading."""
-    text = strip(col)
+    ``text`` is a stripped column; as an expression it would be repeated in every reading.
+    """
     return F.coalesce(
-        _numeric(text, _FULL, _DAY_FIRST), _numeric(text, _FULL, _MONTH_FIRST), _rare(text)
+        _fixed_width(text),
+        _numeric(text, _FULL, _DAY_FIRST),
+        _numeric(text, _FULL, _MONTH_FIRST),
+        _rare(text),
     )
 
 
-def parse_date_staged(col: Column) -> Column:
+def parse_date_staged(text: Column) -> Column:
     """As C1, but a value shaped like an ISO date is only ever read as one."""
-    text = strip(col)
     return F.coalesce(
-        _numeric(text, _FULL, _DAY_FIRST), _numeric(text, _NOT_ISO, _MONTH_FIRST), _rare(text)
+        _fixed_width(text),
+        _numeric(text, _FULL, _DAY_FIRST),
+        _numeric(text, _NOT_ISO, _MONTH_FIRST),
+        _rare(text),
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, functions as F, types as T
 MONEY = T.DecimalType(18, 2)
 RATIO = T.DecimalType(18, 6)
 TOTAL = T.DecimalType(38, 2)
-PARSED = T.DecimalType(38, 18)
 
 # What counts as a number: ASCII digits, optional sign, point and exponent. Spark's own casts
 # also take other scripts' digits and control characters, which the source system rejects.
@@ -18,24 +17,19 @@ def is_number(col: Column) -> Column:
     return col.rlike(NUMBER)
 
 
-def parse_number(col: Column) -> Column:
-    """Text to a decimal of 20 integer and 18 fraction digits; anything else is NULL."""
-    return F.when(is_number(col), col.try_cast(PARSED))
-
-
 def to_num(col: Column, dtype: T.DecimalType) -> Column:
-    """Text to a decimal rounded half up to the column's scale; NULL where it does not fit."""
-    return parse_number(col).try_cast(dtype)
+    """Text to a decimal rounded half up to the column's scale; NULL if it is no number or does not fit."""
+    return F.when(is_number(col), col.try_cast(dtype))
 
 
-def overflows(col: Column, dtype: T.DecimalType) -> Column:
-    """True where the text is a number that the column's precision cannot hold (K5)."""
-    return parse_number(col).isNotNull() & to_num(col, dtype).isNull()
+def overflows(col: Column, value: Column) -> Column:
+    """True where ``value``, read from the text ``col``, is NULL only because the number is too large (K5)."""
+    return value.isNull() & is_number(col) & (F.abs(col.try_cast("double")) < float("inf"))
 
 
 def to_order_id(col: Column) -> Column:
     """Text to a 64-bit key, cutting fractions (12.7 -> 12). The decimal hop keeps large ids exact."""
-    return parse_number(col).try_cast("bigint")
+    return to_num(col, T.DecimalType(38, 18)).try_cast("bigint")
 
 
 def total(col: Column | str) -> Column:

@@ -17,8 +17,13 @@ MISSING_TEXTS = ("", "nan", "None")
 
 
 def strip(col: Column) -> Column:
-    """Remove all Unicode whitespace from both ends (Spark's plain trim only knows the space)."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Remove all Unicode whitespace from both ends (Spark's plain trim only knows the space).
+
+    A text that starts and ends with a visible ASCII character has nothing to remove; testing that
+    is several times cheaper than trimming with a list of characters.
+    """
+    bare = F.ascii(col).between(33, 126) & F.ascii(F.substring(col, -1, 1)).between(33, 126)
+    return F.when(bare, col).otherwise(F.btrim(col, F.lit(WHITESPACE)))
 
 
 def missing_to_null(col: Column) -> Column:

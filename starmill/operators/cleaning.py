@@ -60,34 +60,53 @@ def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
     fail the load (K5) rather than vanish.
 
     The work is cut into steps that name each earlier result as a column, so that nothing is parsed
-    twice. Optional numbers go through one array expression, which keeps the generated code small
-    enough for the JVM to compile however many there are.
+    twice. Optional numbers go through one array expression per type, which keeps the generated
+    code small enough for the JVM to compile however many there are.
     """
     order = [ORDINAL] if ORDINAL in canonical.columns else []
-    required = [c for c in spec.required if c in spec.numbers]
-    optional = [c for c in spec.numbers if c not in required]
-    read = canonical.select(
+    required = {c: t for c, t in spec.numbers.items() if c in spec.required}
+    by_type: dict[T.DecimalType, list[str]] = {}
+    for c, t in spec.numbers.items():
+        if c not in required:
+            by_type.setdefault(t, []).append(c)
+    arrays = [(f"_texts{i}", f"_values{i}", t, columns) for i, (t, columns) in enumerate(by_type.items())]
+
+    stripped = canonical.select(
+        "order_id",
+        *[text.strip(F.col(c)).alias(c) for c in ("date", *spec.texts)],
+        *[F.col(c).alias(f"_text_{c}") for c in required],
+        *[F.array(*columns).alias(texts) for texts, _, _, columns in arrays],
+        *order,
+    )
+    read = stripped.select(
         numbers.to_order_id(F.col("order_id")).alias("order_id"),
         spec.parse_date(F.col("date")).alias("date"),
-        *[text.strip(F.col(c)).alias(c) for c in spec.texts],
-        *[numbers.parse_number(F.col(c)).alias(f"_wide_{c}") for c in required],
-        F.transform(F.array(*optional), numbers.parse_number).alias("_wide"),
+        *spec.texts,
+        *[numbers.to_num(F.col(f"_text_{c}"), t).alias(c) for c, t in required.items()],
+        *[f"_text_{c}" for c in required],
+        *[texts for texts, _, _, _ in arrays],
+        *[
+            F.transform(texts, lambda x: numbers.to_num(x, t)).alias(values)
+            for texts, values, t, _ in arrays
+        ],
         *order,
     )
-    wide = {c: F.col(f"_wide_{c}") for c in required}
-    wide |= {c: F.col("_wide")[i] for i, c in enumerate(optional)}
     typed = read.select(
         "order_id",
         dates.in_span(F.col("date")).alias("date"),
         *[text.missing_to_null(F.col(c)).alias(c) for c in spec.texts],
-        *[wide[c].try_cast(t).alias(c) for c, t in spec.numbers.items()],
-        *[f"_wide_{c}" for c in required],
-        "_wide",
+        *required,
+        *[F.col(values)[k].alias(c) for _, values, _, columns in arrays for k, c in enumerate(columns)],
+        *[numbers.overflows(F.col(f"_text_{c}"), F.col(c)).alias(f"_lost_{c}") for c in required],
+        *[F.zip_with(texts, values, numbers.overflows).alias(values) for texts, values, _, _ in arrays],
         *order,
     )
-    lost = {c: F.col(c).isNull() & wide[c].isNotNull() for c in spec.numbers}
-    lacking = {c: wide.get(c, F.col(c)).isNull() for c in spec.required}
-    names = F.filter(F.array(*[F.when(cond, c) for c, cond in lost.items()]), lambda c: c.isNotNull())
+    lost = {c: F.col(f"_lost_{c}") for c in required}
+    any_lost = [*lost.values(), *[F.exists(values, lambda x: x) for _, values, _, _ in arrays]]
+    lost |= {c: F.col(values)[k] for _, values, _, columns in arrays for k, c in enumerate(columns)}
+    lacking = {c: F.col(c).isNull() for c in spec.required}
+    lacking |= {c: F.col(c).isNull() & ~F.coalesce(lost[c], F.lit(False)) for c in required}
+    incomplete = reduce(Column.__or__, lacking.values())
     return typed.select(
         "order_id",
         "date",
@@ -95,9 +114,13 @@ def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
         F.month("date").alias("month"),
         *spec.texts,
         *spec.numbers,
-        F.when(reduce(Column.__or__, lost.values()), F.array_join(names, ",")).alias(OVERFLOW),
-        F.concat(*[F.when(absent, f"{c},").otherwise("") for c, absent in lacking.items()]).alias(LACKING),
-        (~reduce(Column.__or__, lacking.values())).alias(COMPLETE),
+        F.when(
+            reduce(Column.__or__, any_lost), F.concat_ws(",", *[F.when(x, c) for c, x in lost.items()])
+        ).alias(OVERFLOW),
+        F.when(
+            incomplete, F.concat(*[F.when(x, f"{c},").otherwise("") for c, x in lacking.items()])
+        ).alias(LACKING),
+        (~incomplete).alias(COMPLETE),
         *order,
     )
 

@@ -164,7 +164,9 @@ def length_violations(spark: SparkSession, sf: str) -> DataFrame:
 def numeric_overflow(spark: SparkSession, sf: str) -> DataFrame:
     """Raw numbers over a tightened precision."""
     raw = _raw_sales(spark, sf)
-    flags = [numbers.overflows(F.col(c), TIGHT_MONEY).alias(c) for c in cleaning.REVENUE.numbers]
+    flags = [
+        numbers.overflows(F.col(c), numbers.to_num(F.col(c), TIGHT_MONEY)).alias(c) for c in cleaning.REVENUE.numbers
+    ]
     rows = raw.select(numbers.to_order_id(F.col("order_id")).alias("order_id"), *flags)
     return checks.check_rows(rows, FACT_SALES, [("precision", c, c) for c in cleaning.REVENUE.numbers])
 
