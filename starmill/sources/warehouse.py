@@ -56,8 +56,6 @@ class Warehouse:
         tables: dict[str, dict[int, str]] = {}
         for r in rows:
             tables.setdefault(r.table, {})[r.bucket] = r.path
-            if r.layout != self.layout:
-                raise ValueError(f"{r.table} is cut as {r.layout}, the configuration says {self.layout}")
         return (rows[0].run if rows else 0), tables
 
     @property
@@ -92,8 +90,15 @@ class Warehouse:
     def start(self, rebuild: bool = False) -> Run:
         """Begin a run on top of the published tables, or of none of them."""
         last, tables = self.published()
+        if last and not rebuild:
+            self._require_layout(last)
         return Run(self, last + 1, {} if rebuild else tables)
 
+    def _require_layout(self, run: int) -> None:
+        found = self._manifest().filter(F.col("run") == run).first().layout
+        if found != self.layout:
+            raise ValueError(f"the published fact is cut as {found}, the configuration says {self.layout}")
+
 
 class Run:
     """One load: writes folders, then publishes them together."""
