@@ -43,6 +43,11 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def state_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Change time, size and number of files of a table, from its listing alone."""
     files, target = _file_system(spark, path)

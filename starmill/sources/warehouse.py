@@ -19,7 +19,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmill.config import MartConfig
@@ -39,12 +38,10 @@ class Warehouse:
         self.base = f"{config.root}/{config.mart}"
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(f"run INT, {_ENTRY}").parquet(f"{self.base}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = f"{self.base}/manifest"
+        if not shared.exists(self.spark, path):
             return None
+        return self.spark.read.schema(f"run INT, {_ENTRY}").parquet(path)
 
     def published(self) -> tuple[int, dict[str, dict[int, str]]]:
         """Newest run and, per table, bucket -> folder. At most one entry per table and bucket."""
