@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import decontaminate, jaccard_join, language_id, mixing, quality, suffix_dedup, token_counts
+from starmill.llm import decontaminate, jaccard_join, language_id, licenses, mixing, nearest, quality, suffix_dedup, token_counts
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -23,6 +23,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.digest(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(_table(spark, sf_dir, "documents"))
 
@@ -49,10 +57,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_licenses": op2_licenses,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixing": op7_mixing,
+    "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
