@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.llm import kernel as K
-from starmill.llm.tables import ROW, TEXT, numbered, restored
+from starmill.llm.tables import ROW, TEXT, numbered, restored, staged
 
 FEATURES = 1 << 15  # hash buckets of trigrams, and as many of whole words
 SCRIPTS = 16
@@ -262,8 +262,6 @@ def digest(docs: DataFrame) -> DataFrame:
 def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
     """``docs`` without those of no known language: ``und``, or with less than the share ``least``
     of their letters in one language. Learns from the documents themselves, as ``digest`` does."""
-    from starmill.llm.tables import staged
-
     model = learn(docs.filter(fold(F.col(f"`{doc_id}`")) != 0), text, lang)
     table = staged(numbered(docs, text), "texts")
     known = identify(table, model, with_spans=False).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))

@@ -7,15 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import decontaminate, jaccard_join, language_id, licenses, mixing, nearest, quality, suffix_dedup, token_counts
+import corpus_pipeline
+from starmill.llm import decontaminate, jaccard_join, language_id, licenses, mixing, nearest, quality, suffix_dedup, token_counts, warc
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package; a session started in another folder would not find it.
+def _reachable(spark: SparkSession) -> None:
+    """Python workers import this package; in a session started in another folder they need its place."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +32,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(_table(spark, sf_dir, "pages"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.digest(_table(spark, sf_dir, "documents"))
 
@@ -55,9 +64,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.histogram(_table(spark, sf_dir, "documents")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _reachable(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_licenses": op2_licenses,
+    "op3_warc": op3_warc,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
@@ -65,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
