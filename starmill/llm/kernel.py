@@ -159,7 +159,9 @@ def grams(hashes: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Smallest of each ``width`` consecutive values, by doubling."""
+    """Smallest of each ``width`` consecutive values, by doubling; none if there are fewer."""
+    if len(values) < width:
+        return values[:0]
     out, size = values, 1
     while size < width:
         step = min(size, width - size)
