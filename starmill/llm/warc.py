@@ -111,7 +111,7 @@ def _archive(folder: str):
             for batch in batches:
                 if not len(batch):
                     continue
-                stream = stream or files.open_output_stream(f"{root}/{name}")
+                stream = stream or files.open_output_stream(f"{root}/{name}", compression=None)
                 rows = []
                 for page_id, url, html, digest, refers_to in zip(*(batch.column(i) for i in range(5)), strict=True):
                     page_id, url = page_id.as_py(), url.as_py()
@@ -170,7 +170,7 @@ def _index_file(folder: str):
             nonlocal at, number, stream, lines
             if not lines:
                 return
-            stream = stream or files.open_output_stream(f"{root}/{name}")
+            stream = stream or files.open_output_stream(f"{root}/{name}", compression=None)
             data = zlib.compress("\n".join(json.dumps(line) for line in lines).encode())
             stream.write(data)
             rows.append((name, number, lines[0][0], _order(lines[0][1]), at, len(data)))
