@@ -122,11 +122,11 @@ def family(seed):
 
 
 @pytest.mark.parametrize("few", [8, 2])
-def test_components_of_families_match_brute_force(spark, monkeypatch, few):
-    monkeypatch.setattr(jaccard_join, "FEW", few)  # with few: more goes through stars and the last step
+def test_components_of_families_match_brute_force(spark, few):
+    """With few = 2 nearly all signatures go through stars and the last step."""
     rows = family(few)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = sorted(tuple(r) for r in jaccard_join.digest(docs).collect())
+    got = sorted(tuple(r) for r in jaccard_join.digest(docs, few=few).collect())
     assert got == sorted(brute_groups(rows))
 
 
