@@ -16,16 +16,16 @@ def components(links: DataFrame) -> DataFrame:
     links costs no task more than its share.
     """
     both = staged(links.select("x", "y").union(links.select("y", "x")).distinct(), "links")
-    labels = staged(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).select(F.col("x").alias("node"), "label"), "labels")
+    first = F.least(F.min("y"), F.col("x")).alias("label")
+    labels = staged(both.groupBy("x").agg(first).select(F.col("x").alias("node"), "label"), "labels")
     while True:
         at_x = labels.select(F.col("node").alias("x"), F.col("label").alias("label_x"))
         at_y = labels.select(F.col("node").alias("y"), F.col("label").alias("label_y"))
         across = both.join(at_x, "x").join(at_y, "y").filter("label_x <> label_y")
-        offers = across.select(F.col("x").alias("node"), "label_y").union(across.select(F.col("label_x").alias("node"), "label_y"))
-        best = offers.groupBy("node").agg(F.min("label_y").alias("offer"))
+        offers = across.select(F.explode(F.array("x", "label_x")).alias("node"), "label_y")
+        best = staged(offers.groupBy("node").agg(F.min("label_y").alias("offer")), "offers")
         if best.isEmpty():
             return labels
-        lower = labels.join(best, "node", "left").select("node", F.least("label", F.coalesce("offer", "label")).alias("label"))
-        lower = staged(lower, "labels")
+        lower = labels.join(best, "node", "left").select("node", F.least("label", "offer").alias("label"))
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
         labels = staged(lower.join(jump, "label").select("node", F.col("further").alias("label")), "labels")

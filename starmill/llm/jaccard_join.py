@@ -36,7 +36,9 @@ FEW = 8  # sets of one signature up to which all pairs are made at once
 BLOCK = 2048  # bit sketches compared with each other in one go, in the last step
 SEEDS = 40
 SIG_BITS = 48
+LISTED = 16  # signatures of a set by which the last step tells that a pair meets elsewhere too
 STAR_ROUNDS = 6
+WORTH = 50  # go on with rounds while at least one pair in so many is linked
 ODD_SET = 0xA24BAED4963EE407
 
 
@@ -81,7 +83,8 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _bits(size: int) -> int:
-    return max(64, 1 << int(size).bit_length())
+    """Four to eight bits a token: few tokens then share a bit, and the bound on what differs is tight."""
+    return max(64, 4 << int(size).bit_length())
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
@@ -156,7 +159,7 @@ def _posted(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(out) >> K.U(64 - SIG_BITS), np.concatenate(owners)
 
 
-def _grouped(signatures: np.ndarray, rows: np.ndarray, marked: np.ndarray):
+def _grouped(signatures: np.ndarray, rows: np.ndarray, marked: np.ndarray, few: int):
     """Pairs and kept members of signatures in sorted order, see step 3.
 
     ``marked`` entries stand for many sets of their own block, whose pairs and members are known.
@@ -167,9 +170,9 @@ def _grouped(signatures: np.ndarray, rows: np.ndarray, marked: np.ndarray):
         return (none, none), (none, none), np.zeros(0, bool)
     first = np.flatnonzero(np.r_[True, signatures[1:] != signatures[:-1]])
     counts = np.diff(np.r_[first, len(signatures)])
-    many = (counts > FEW) | (np.add.reduceat(marked.astype(np.int64), first) > 0)
+    many = (counts > few) | (np.add.reduceat(marked.astype(np.int64), first) > 0)
     pairs = []
-    for size in range(2, FEW + 1):
+    for size in range(2, few + 1):
         at = first[(counts == size) & ~many]
         for i in range(size):
             for j in range(i):
@@ -199,7 +202,7 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
 
 
-def _blocks(n: int, buckets: int):
+def _blocks(n: int, buckets: int, few: int):
     """Posted signatures of each batch in one packed block per bucket: gaps of sorted signatures, and
     for each which set of the block posted it."""
 
@@ -217,8 +220,8 @@ def _blocks(n: int, buckets: int):
             signature, owner = signature[order], owner[order]
             first = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]][: len(signature)])
             counts = np.diff(np.r_[first, len(signature)])
-            many = np.repeat(counts > FEW, counts)
-            pairs, members, lead = _grouped(signature[many], rows[owner[many]], np.zeros(int(many.sum()), bool))
+            many = np.repeat(counts > few, counts)
+            pairs, members, lead = _grouped(signature[many], rows[owner[many]], np.zeros(int(many.sum()), bool), few)
             marked = np.zeros(len(signature), bool)
             marked[np.flatnonzero(many)[lead]] = True
             kept = ~many | marked
@@ -249,7 +252,7 @@ def _blocks(n: int, buckets: int):
 MET = pa.schema([("kind", pa.int32()), ("x", pa.int64()), ("y", pa.int64())])
 
 
-def _met(buckets: int):
+def _met(buckets: int, few: int):
     """All blocks of one bucket: pairs (x, y), and kept members (signature, row)."""
     width = -(-(1 << SIG_BITS) // buckets)
 
@@ -268,7 +271,7 @@ def _met(buckets: int):
         if signatures:
             signature, row, mark = (np.concatenate(a) for a in (signatures, rows, marks))
             order = np.argsort(signature, kind="stable")
-            more, kept, _ = _grouped(signature[order], row[order], mark[order])
+            more, kept, _ = _grouped(signature[order], row[order], mark[order], few)
             pairs.append(more)
             members.append(kept)
         x, y = _distinct_pairs(*(np.concatenate([p[i] for p in pairs] or [np.zeros(0, np.int64)]) for i in (0, 1)))
@@ -346,8 +349,18 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _last_pairs(key: tuple, table: pa.Table) -> pa.Table:
-    """Pairs across components of two blocks of one signature that pass the Hamming test."""
+    """Pairs across components of two blocks of one signature that pass the Hamming test.
+
+    Sets that share many signatures meet under each. ``least`` are the ``LISTED`` smallest ones of a
+    set; a pair that has a smaller one in common is left to that one, where it is met as well.
+    """
+    signature = key[0].as_py()
     rows, labels, sizes = (table.column(c).to_numpy() for c in ("row", "label", "n"))
+    least = table.column("least").combine_chunks()
+    smaller = np.full((len(rows), LISTED), -1, np.int64)  # no signature is negative
+    counts = np.asarray(least.value_lengths())
+    smaller[np.repeat(np.arange(len(rows)), counts), K.ranges(np.zeros(len(rows), np.int64), counts)] = np.asarray(least.flatten())
+    smaller[smaller >= signature] = -1
     sides = table.column("side").to_numpy()
     sketches = table.column("sketch").to_pylist()
     bits = min((len(s) * 8 for s in sketches), default=64)
@@ -358,6 +371,7 @@ def _last_pairs(key: tuple, table: pa.Table) -> pa.Table:
         other = right[labels[right] != labels[i]]
         far = np.bitwise_count(folded[other] ^ folded[i]).sum(axis=1, dtype=np.int64)
         other = other[far <= differing(sizes[other], sizes[i])]
+        other = other[~np.isin(smaller[other], smaller[i][smaller[i] >= 0]).any(axis=1)]
         x.append(np.full(len(other), rows[i]))
         y.append(rows[other])
     empty = [np.zeros(0, np.int64)]
@@ -374,10 +388,11 @@ def _all_across(members: DataFrame, sets: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = members.join(sized, "signature").withColumn("blocks", blocks)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(sets.select(F.col(ROW).alias("row"), "n", "sketch"), "row")
+    least = members.groupBy("row").agg(F.slice(F.array_sort(F.collect_list("signature")), 1, LISTED).alias("least"))
+    dealt = dealt.join(sets.select(F.col(ROW).alias("row"), "n", "sketch"), "row").join(least, "row")
     with_other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.signum(F.col("block") - F.col("other")).cast("int").alias("side")
-    sides = with_other.select("signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "row", "label", "n", "sketch", side)
+    sides = with_other.select("signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "row", "label", "n", "sketch", "least", side)
     return sides.groupBy("signature", "i", "j").applyInArrow(_last_pairs, "x long, y long").distinct()
 
 
@@ -395,7 +410,7 @@ def _star_pairs(members: DataFrame, links: DataFrame, used: DataFrame) -> DataFr
     return met.select(F.least("row", "lead").alias("x"), F.greatest("row", "lead").alias("y"), "lead").distinct()
 
 
-def jaccard_links(table: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def jaccard_links(table: DataFrame, n: int, few: int = FEW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sets of a numbered, bucketed table and the components of their links.
 
     Returns ``sets`` (row_id, n, set_a, set_b, sketch), ``classes`` (set_a, set_b, node: the row
@@ -406,8 +421,8 @@ def jaccard_links(table: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataF
     classes = staged(sets.filter("n > 0").groupBy("set_a", "set_b").agg(F.min(ROW).alias("node")), "classes")
     chosen = table.select(ROW, TEXT).join(classes.select(F.col("node").alias(ROW)).hint("shuffle_hash"), ROW)
     buckets = 2 * partitions(spark)
-    packed = chosen.mapInArrow(_blocks(n, buckets), "bucket int, kind int, first binary, second binary, rows binary")
-    met = staged(packed.groupBy("bucket").applyInArrow(_met(buckets), "kind int, x long, y long"), "met")
+    packed = chosen.mapInArrow(_blocks(n, buckets, few), "bucket int, kind int, first binary, second binary, rows binary")
+    met = staged(packed.groupBy("bucket").applyInArrow(_met(buckets, few), "kind int, x long, y long"), "met")
     pairs = met.filter(F.col("kind") == PAIRS).select("x", "y").distinct()
     members = met.filter(F.col("kind") == MEMBERS).select(F.col("x").alias("signature"), F.col("y").alias("row")).distinct()
     links = _links(table, sets, pairs, n)
@@ -419,15 +434,18 @@ def jaccard_links(table: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataF
             return sets, classes, labels
         stars = staged(_star_pairs(open_members, links, used), "stars")
         used = staged(used.union(stars.select(F.col("lead").alias("row"))).distinct(), "used")
-        more = _links(table, sets, stars.select("x", "y").distinct(), n)
+        tried = stars.select("x", "y").distinct()
+        more = _links(table, sets, tried, n)
         links, members = links.union(more), open_members.select("signature", "row")
         labels = components(links)
+        if more.count() * WORTH < tried.count():
+            break  # what is left are mostly sets with a passage in common; the last step is as exact
     open_members = staged(_unsettled(members, labels), "members")
     links = links.union(_links(table, sets, _all_across(open_members, sets), n))
     return sets, classes, components(links)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", n: int = 5) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, text: str = "text", n: int = 5, few: int = FEW) -> tuple[DataFrame, DataFrame]:
     """Groups of texts connected by Jaccard links of their word n-gram sets (at least 0.75).
 
     Words are runs of other than ASCII white space, A-Z lower-cased; the set of a text holds its
@@ -438,7 +456,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", n: int = 5) -> tuple[Da
     ``label`` (the same within a group and nowhere else).
     """
     table = bucketed(numbered(docs, text), ROW, "texts")
-    sets, classes, labels = jaccard_links(table, n)
+    sets, classes, labels = jaccard_links(table, n, few)
     named = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("label", "node").alias("label"))
     # an empty set's row is its own group
     out = sets.select(ROW, "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
@@ -455,9 +473,9 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int
     return table.join(kept, ROW).select(*restored(table, docs.columns, text))
 
 
-def digest(docs: DataFrame, n: int = 5) -> DataFrame:
+def digest(docs: DataFrame, n: int = 5, few: int = FEW) -> DataFrame:
     """One row per document: size of its set and the smallest doc_id of its group."""
-    table, grouped = near_duplicates(docs, "text", n)
+    table, grouped = near_duplicates(docs, "text", n, few)
     grouped = grouped.join(table.select(ROW, F.col(REST)["doc_id"].alias("doc_id")), ROW)
     smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return grouped.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -56,10 +56,11 @@ def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
 
 
 def _prefix(near: np.ndarray) -> np.ndarray:
-    """The nearest pivots of each row in order, from inner products; ties to the smaller number."""
+    """The nearest pivots of each row in order, from inner products."""
     length = min(PREFIX, near.shape[1])
-    order = np.argsort(-near, axis=1, kind="stable")[:, :length]
-    return order.astype(np.int16)
+    some = np.sort(np.argpartition(-near, length - 1, axis=1)[:, :length], axis=1)
+    order = np.argsort(-np.take_along_axis(near, some, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, axis=1).astype(np.int16)
 
 
 def _indexed(pivots):
