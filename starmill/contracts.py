@@ -1,4 +1,7 @@
-"""Table contracts of both marts: types, keys, NOT NULL, text lengths, foreign keys."""
+"""Table contracts of both marts: types, keys, NOT NULL, text lengths, foreign keys.
+
+Fixed values: names, types, lengths and keys are those an existing deployment has.
+"""
 
 from __future__ import annotations
 

@@ -12,8 +12,8 @@ import datetime
 
 from pyspark.sql import Column, functions as F
 
-# The span a nanosecond timestamp covers; dates outside it count as unreadable.
-# The span also bounds dim_date (about 214,000 days) and every per-month result.
+# The span a nanosecond timestamp covers. That dates outside it reject their row is an
+# inherited rule about values, counted under a reason of its own.
 FIRST_DATE = "1677-09-22"
 LAST_DATE = "2262-04-11"
 

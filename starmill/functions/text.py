@@ -29,7 +29,3 @@ def strip(col: Column) -> Column:
 def missing_to_null(col: Column) -> Column:
     """Turn an already stripped text that means "missing" into NULL."""
     return F.when(~col.isin(*MISSING_TEXTS), col)
-
-
-def clean_text(col: Column) -> Column:
-    return missing_to_null(strip(col))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from starmill.contracts import FACT_MARKETING, FACT_SALES, Table
 from starmill.functions.numbers import MONEY, ratio
 
-# Fact column <- clean column, where the names differ.
+# Fact column <- clean column, where the names differ.
 RENAMED = {
     "full_date": "date",
     "region_name": "region",

@@ -89,7 +89,7 @@ def test_every_python_whitespace_character_is_stripped(spark):
 
 def test_missing_texts(spark):
     given = ["", "  ", "nan ", " None", "NaN", "null", "NULL", "none", " a b ", None]
-    assert apply(spark, given, text.clean_text) == [
+    assert apply(spark, given, lambda c: text.missing_to_null(text.strip(c))) == [
         None, None, None, None, "NaN", "null", "NULL", "none", "a b", None,
     ]
 
