@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starmill import contracts
 from starmill.functions import dates, numbers, text
-from starmill.sources import headers
+from starmill.sources import headers, shared
 from starmill.sources.headers import ORDINAL
 
 OVERFLOW = "_overflow"
 LACKING = "_lacking"
 COMPLETE = "_complete"
+DATE_SPAN = "date_span"
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,8 @@ MARKETING = _spec(
 def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
     """Type every column and mark complete rows. Narrow: no shuffle, no Python.
 
-    ``_lacking`` lists the required columns a row has no value for. ``_overflow`` lists the numeric
+    ``_lacking`` lists the required columns a row has no value for, and ``date_span`` if its date is
+    one outside the supported span. ``_overflow`` lists the numeric
     columns whose number is too large for its NUMERIC type; such a row is not incomplete and must
     fail the load (K5) rather than vanish.
 
@@ -94,6 +96,7 @@ def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
     typed = read.select(
         "order_id",
         dates.in_span(F.col("date")).alias("date"),
+        (F.col("date").isNotNull() & dates.in_span(F.col("date")).isNull()).alias("_beyond"),
         *[text.missing_to_null(F.col(c)).alias(c) for c in spec.texts],
         *required,
         *[F.col(values)[k].alias(c) for _, values, _, columns in arrays for k, c in enumerate(columns)],
@@ -106,6 +109,8 @@ def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
     lost |= {c: F.col(values)[k] for _, values, _, columns in arrays for k, c in enumerate(columns)}
     lacking = {c: F.col(c).isNull() for c in spec.required}
     lacking |= {c: F.col(c).isNull() & ~F.coalesce(lost[c], F.lit(False)) for c in required}
+    lacking["date"] = lacking["date"] & ~F.col("_beyond")
+    lacking[DATE_SPAN] = F.col("_beyond")
     incomplete = reduce(Column.__or__, lacking.values())
     return typed.select(
         "order_id",
@@ -126,20 +131,38 @@ def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
 
 
 def missing(spec: CleanSpec) -> dict[str, Column]:
-    """Per required column, whether a parsed row lacks it."""
-    return {c: F.col(LACKING).contains(f"{c},") for c in spec.required}
+    """Per reason, whether a parsed row is rejected for it (C7): a required column it lacks, or the span."""
+    return {c: F.col(LACKING).contains(f"{c},") for c in (*spec.required, DATE_SPAN)}
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
     """Incomplete rows, with ``reasons``: the required columns each one lacks."""
-    reasons = F.array_remove(F.split(LACKING, ","), "")
-    return parsed.filter(~F.col(COMPLETE)).select("*", reasons.alias("reasons"))
+    incomplete = parsed.filter(~F.col(COMPLETE)) if COMPLETE in parsed.columns else parsed
+    return incomplete.select("*", F.array_remove(F.split(LACKING, ","), "").alias("reasons"))
+
+
+def split(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write parsed rows once, complete ones apart from the others, and read both sides back.
+
+    Nothing is parsed twice, and incomplete rows meet neither sort nor exchange. One write makes
+    both sides, so they always come from the same reading of the source.
+    """
+    spark = parsed.sparkSession
+    parsed.write.partitionBy(COMPLETE).parquet(path)
+    rows = T.StructType([f for f in parsed.schema if f.name != COMPLETE])
+
+    def side(complete: str) -> DataFrame:
+        folder = f"{path}/{COMPLETE}={complete}"
+        return spark.read.schema(rows).parquet(folder) if shared.exists(spark, folder) else spark.createDataFrame([], rows)
+
+    return side("true"), side("false")
 
 
 def rejects_by_reason(parsed: DataFrame, spec: CleanSpec) -> DataFrame:
     """Rows lacking each required column, in one pass. A row that lacks two counts under both."""
-    counted = tally(parsed, spec).select(*[F.col(f"lacking_{c}").alias(c) for c in spec.required])
-    return counted.unpivot([], list(spec.required), "reason", "n_rows").filter("n_rows > 0")
+    reasons = list(missing(spec))
+    counted = tally(parsed, spec).select(*[F.col(f"lacking_{c}").alias(c) for c in reasons])
+    return counted.unpivot([], reasons, "reason", "n_rows").filter("n_rows > 0")
 
 
 def clean(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
@@ -148,20 +171,25 @@ def clean(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
 
 
 def last_complete(parsed: DataFrame, key: str = "order_id", ordinal: str = ORDINAL) -> DataFrame:
-    """The last complete row of each key in ordinal order.
+    """The last complete row of each key in ordinal order, of rows that are not staged by ``split``.
 
     Completeness leads the sort order and is filtered on afterwards. Filtering first gives the same
     rows, but Catalyst would push that filter below the parsing and parse the required columns
     twice. The group limit Catalyst adds before the exchange lets each map task send at most one
     row per key, so neither a key with a third of all rows nor the unreadable keys pile up.
     """
-    order = [F.col(COMPLETE).desc(), F.col(ordinal).desc()]
+    order = [F.col(COMPLETE).desc(), *_latest_first(parsed, ordinal)]
     return _first_of(parsed, key, order).filter(COMPLETE).drop(COMPLETE, LACKING)
 
 
-def dedup_last(df: DataFrame, key: str, ordinal: str = ORDINAL) -> DataFrame:
-    """Keep the last row of each key in ordinal order."""
-    return _first_of(df, key, [F.col(ordinal).desc()])
+def last_of(complete: DataFrame, key: str = "order_id", ordinal: str = ORDINAL) -> DataFrame:
+    """The last row of each key of the complete side of ``split`` (C9), with the same group limit."""
+    return _first_of(complete, key, _latest_first(complete, ordinal)).drop(LACKING)
+
+
+def _latest_first(df: DataFrame, ordinal: str) -> list[Column]:
+    """Rows of one key at one position are told apart by their values, not by the order of tasks."""
+    return [F.col(ordinal).desc(), F.xxhash64(*[c for c in df.columns if c != ordinal]).desc()]
 
 
 def _first_of(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

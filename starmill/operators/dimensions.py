@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starmill.contracts import DIM_STAGE
 from starmill.sources import seeds
@@ -31,12 +31,13 @@ def attribute_dim(clean: DataFrame, key: str, attribute: str, keep: str, ordinal
     """One attribute value per key: that of the first or last row in ordinal order.
 
     The value may be NULL: a first row without a category gives no category. Rows are reduced to
-    distinct (key, attribute) pairs first, so a hot key never travels as rows, and with a numeric
-    or timestamp ordinal this step is a hash aggregate.
+    distinct (key, attribute) pairs first, by a hash aggregate, so a hot key never travels as rows.
+    Of rows at one position the smallest value counts, whatever the order of tasks.
     """
-    edge, pick = (F.min, F.min_by) if keep == "first" else (F.max, F.max_by)
+    edge, order = (F.min, F.col("at").asc()) if keep == "first" else (F.max, F.col("at").desc())
     pairs = clean.filter(F.col(key).isNotNull()).groupBy(key, attribute).agg(edge(ordinal).alias("at"))
-    return pairs.groupBy(key).agg(pick(attribute, "at").alias(attribute))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(order, F.col(attribute).asc_nulls_last()))
+    return pairs.withColumn("_nth", nth).filter("_nth = 1").select(key, attribute)
 
 
 def branch_dim(clean: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from starmill.sources.headers import ORDINAL
 NBSP = "\xa0"
 # Start of the second delivery: a raw row belongs to the batch its ship date falls in.
 SECOND_DELIVERY = "1999-01-01"
+# Region some lines of every branch are booked under, so that branches occur under two regions.
+MOVED_TO = "AFRICA"
 
 
 def _dec(col: Column) -> Column:
@@ -47,6 +49,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     cost = _dec(_dec(_dec(F.col("p_retailprice")) * quantity) * F.lit("0.6").cast("decimal(2,1)"))
     iso = F.date_format(day, "yyyy-MM-dd")
     order_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    home = F.when(p % 43 == 2, MOVED_TO).otherwise(F.col("r_name"))
     columns = {
         "Order ID": _dirty(
             order_id, (p % 107 == 11, "ORD-x"), (p % 13 == 2, F.concat(order_id.cast("string"), F.lit(".0")))
@@ -59,9 +62,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((p % 4 == 3) & (F.dayofmonth(day) > 12), F.date_format(day, "MM/dd/yyyy")),
         ),
         "Vung": _dirty(
-            F.col("r_name"),
+            home,
             (p % 89 == 3, ""),
-            (p % 11 == 0, F.concat(F.lit(NBSP + "  "), F.col("r_name"), F.lit("\t"))),
+            (p % 11 == 0, F.concat(F.lit(NBSP + "  "), home, F.lit("\t"))),
         ),
         "chi_nhanh": _dirty(F.col("n_name"), (p % 53 == 1, "None")),
         "San Pham": _dirty(F.col("p_name"), (p % 59 == 4, "nan")),
@@ -78,13 +81,24 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Phan Khuc Khach Hang": F.col("c_mktsegment"),
         "Chien Dich": _dirty(F.col("p_brand"), (p % 5 == 0, "  ")),
     }
-    ordinal = F.struct("l_shipdate", "l_partkey", "l_suppkey").alias(ORDINAL)
-    return joined.select(*[c.alias(name) for name, c in columns.items()], ordinal)
+    return joined.select(*[c.alias(name) for name, c in columns.items()], _line_ordinal(day).alias(ORDINAL))
+
+
+# Bits of a line's position in the raw table: its part and supplier, below the day it shipped.
+PART_BITS, SUPPLIER_BITS = 26, 22
+
+
+def _line_ordinal(day: Column) -> Column:
+    """One number that orders lines by ship date, part and supplier."""
+    by_day = F.shiftleft(F.unix_date(day.cast("date")).cast("long"), PART_BITS + SUPPLIER_BITS)
+    by_part = F.shiftleft(F.col("l_partkey").cast("long"), SUPPLIER_BITS)
+    return by_day + by_part + F.col("l_suppkey").cast("long")
 
 
 def sales_batches(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All raw rows, split by ship date into two deliveries; many orders are in both."""
-    late = F.col(f"{ORDINAL}.l_shipdate") >= F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    first_day = F.unix_date(F.lit(SECOND_DELIVERY).cast("date")).cast("long")
+    late = F.col(ORDINAL) >= F.shiftleft(first_day, PART_BITS + SUPPLIER_BITS)
     return raw.filter(~late), raw.filter(late)
 
 
@@ -127,6 +141,13 @@ def raw_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Customer Segment": _dirty(
             F.concat(F.lit("Seg "), (user % 3).cast("string")), (user % 11 == 0, "None")
         ),
+        "Region": F.concat(F.lit("R"), (user % 5).cast("string")),
+        "Branch": F.concat(F.lit("B"), (user % 9).cast("string")),
+        "Product": F.concat(F.lit("P"), (k % 12).cast("string")),
+        "Category": F.concat(F.lit("C"), (k % 4).cast("string")),
+        "Revenue per Unit": F.try_divide(value, (k % 20 + 1).cast(MONEY)).cast(RATIO).cast("string"),
+        "ROI Marketing": F.try_divide(value - cost, (user + 1).cast(MONEY)).cast(RATIO).cast("string"),
+        "Region Profit Share": F.try_divide(k.cast(MONEY), F.lit(1000).cast(MONEY)).cast(RATIO).cast("string"),
         "Quantity": (k % 20 + 1).cast("string"),
         "Revenue": _money_text(value),
         "Cost": _money_text(cost),

@@ -20,26 +20,17 @@ MARKETING_TABLES = ("events",)
 _written: dict[tuple, DataFrame] = {}
 
 
-# Inputs smaller than this per core may sit in a single row group, which only one task can read.
-SMALL_PER_CORE = 16 << 20
-
-
 def _once(
     spark: SparkSession,
     sf_dir: str,
     name: str,
     tables: tuple[str, ...],
     build: Callable[[], DataFrame],
-    spread: bool = False,
 ) -> DataFrame:
     state = tuple(shared.state_of(spark, f"{sf_dir}/{t}.parquet") for t in tables)
     key = (spark.conf.get("spark.app.id"), sf_dir, name, state)
     if key not in _written:
-        df = build()
-        cores = spark.sparkContext.defaultParallelism
-        if spread and sum(size for _, size, _ in state) < cores * SMALL_PER_CORE:
-            df = df.repartition(cores)
-        _written[key] = shared.materialize(df, shared.new_path(spark, name))
+        _written[key] = shared.materialize(build(), shared.new_path(spark, name))
     return _written[key]
 
 
@@ -47,20 +38,27 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         return testdata.raw_sales(spark, sf_dir)
 
-    return _once(spark, sf_dir, "raw-sales", SALES_TABLES, build, spread=True)
+    return _once(spark, sf_dir, "raw-sales", SALES_TABLES, build)
 
 
 def raw_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         return testdata.raw_marketing(spark, sf_dir)
 
-    return _once(spark, sf_dir, "raw-marketing", MARKETING_TABLES, build, spread=True)
+    return _once(spark, sf_dir, "raw-marketing", MARKETING_TABLES, build)
 
 
 def sales_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return testdata.sales_batches(raw_sales(spark, sf_dir))
 
 
+def _clean(spark: SparkSession, raw: DataFrame, spec: cleaning.CleanSpec) -> DataFrame:
+    """As a load does it: parse into a table, then keep the last complete row of each order."""
+    parsed = cleaning.parse(spec.canonicalize(raw), spec)
+    complete, _ = cleaning.split(parsed, shared.new_path(spark, "parsed"))
+    return cleaning.last_of(complete)
+
+
 def clean_sales(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
     """Clean sales rows of all raw rows, or of the ``early`` or ``late`` delivery."""
 
@@ -69,14 +67,13 @@ def clean_sales(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFram
             raw = raw_sales(spark, sf_dir)
         else:
             raw = sales_deliveries(spark, sf_dir)[part == "late"]
-        return cleaning.clean(cleaning.REVENUE.canonicalize(raw), cleaning.REVENUE)
+        return _clean(spark, raw, cleaning.REVENUE)
 
     return _once(spark, sf_dir, f"clean-sales-{part}", SALES_TABLES, build)
 
 
 def clean_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
-        raw = raw_marketing(spark, sf_dir)
-        return cleaning.clean(cleaning.MARKETING.canonicalize(raw), cleaning.MARKETING)
+        return _clean(spark, raw_marketing(spark, sf_dir), cleaning.MARKETING)
 
     return _once(spark, sf_dir, "clean-marketing", MARKETING_TABLES, build)

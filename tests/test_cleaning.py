@@ -120,3 +120,35 @@ def test_cleaning_parses_each_value_once_and_runs_no_python(spark):
     plan = plan_of(cleaning.clean(REVENUE.canonicalize(df), REVENUE))
     assert plan.count("try_to_date") <= 1
     assert "Python" not in plan
+
+
+def test_date_outside_the_span_has_a_reason_of_its_own(spark):
+    df = raw(spark, [
+        ("1", "9999-12-31", "N", "1", None, None),
+        ("2", "1600-01-01", "N", "1", None, None),
+        ("3", "never", "N", "1", None, None),
+        ("4", "2262-04-11", "N", "1", None, None),
+    ])
+    parsed = cleaning.parse(REVENUE.canonicalize(df), REVENUE)
+    assert {r[ORDINAL]: r.reasons for r in cleaning.rejects(parsed).collect()} == {0: ["date_span"], 1: ["date_span"], 2: ["date"]}
+    counted = {r.reason: r.n_rows for r in cleaning.rejects_by_reason(parsed, REVENUE).collect()}
+    assert counted == {"date": 1, "date_span": 2}
+
+
+def test_rows_at_one_position_do_not_depend_on_task_order(spark):
+    rows = [("7", "2024-01-01", r, "1", None, None) for r in ("a", "b", "c", "d")]
+    df = raw(spark, rows).withColumn(ORDINAL, F.lit(1).cast("long"))
+    kept = {cleaning.clean(REVENUE.canonicalize(df.repartition(n, F.rand(n))), REVENUE).first().region for n in (1, 2, 3, 4)}
+    assert len(kept) == 1
+
+
+def test_split_sides_come_from_one_pass_and_lose_nothing(spark, tmp_path):
+    df = raw(spark, [(str(i % 5), "2024-01-01" if i % 7 else "bad", "N", "1", None, None) for i in range(50)])
+    parsed = cleaning.parse(REVENUE.canonicalize(df), REVENUE)
+    complete, incomplete = cleaning.split(parsed, str(tmp_path / "parsed"))
+    assert (complete.count(), incomplete.count()) == (42, 8)
+    plan = plan_of(cleaning.last_of(complete))
+    assert "WindowGroupLimit" in plan and plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert cleaning.last_of(complete).count() == 5
+    none, _ = cleaning.split(parsed.filter("false"), str(tmp_path / "none"))
+    assert none.count() == 0 and none.schema == complete.schema
