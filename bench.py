@@ -43,7 +43,7 @@ def drain(df: DataFrame) -> None:
 
 
 def bench_loads(spark, mart: loads.Mart, raw: DataFrame) -> tuple[dict[str, float], Warehouse]:
-    configs = [MartConfig(tempfile.mkdtemp(prefix="bench-"), mart.name, orders_per_file=1 << 17) for _ in range(RUNS + 1)]
+    configs = [MartConfig(tempfile.mkdtemp(prefix="bench-"), mart.name) for _ in range(RUNS + 1)]
     first = [timed(lambda c=c: loads.load(spark, c, mart, raw)) for c in configs][1:]
     again = [timed(lambda: loads.load(spark, configs[-1], mart, raw)) for _ in range(RUNS)]
     seconds = {f"{mart.name}_load": statistics.median(first), f"{mart.name}_rerun": statistics.median(again)}

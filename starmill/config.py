@@ -34,8 +34,9 @@ MARKETING_SETTINGS = {
 class MartConfig:
     """Where one mart reads and writes.
 
-    ``table_names`` maps a contract's table name to the name used on disk. ``orders_per_file`` and
-    ``files_per_bucket`` set how the fact table is sliced by order id, see ``Warehouse``.
+    ``table_names`` maps a contract's table name to the name used on disk. ``rows_per_file`` is the
+    size of a file of the fact, see ``Warehouse``; it may change from load to load. The raw table is
+    ``raw_name`` in the catalog, or the files at ``raw_path``.
     """
 
     root: str
@@ -43,9 +44,10 @@ class MartConfig:
     staging_schema: str = "staging"
     raw_table: str = "raw_sales"
     table_names: Mapping[str, str] = field(default_factory=dict)
-    orders_per_file: int = 1 << 20
-    files_per_bucket: int = 16
-    buckets: int = 4096
+    raw_path: str | None = None
+    raw_format: str = "parquet"
+    raw_ordinal: str | None = None
+    rows_per_file: int = 1 << 20
 
     def table(self, name: str) -> str:
         return self.table_names.get(name, name)
@@ -63,6 +65,9 @@ class MartConfig:
             "root": settings.get("DB_SCHEMA_DWH", "dw"),
             "staging_schema": settings.get("DB_SCHEMA_STAGING", "staging"),
             "raw_table": settings.get("RAW_TABLE", "raw_sales"),
+            "raw_path": settings.get("RAW_PATH"),
+            "raw_format": settings.get("RAW_FORMAT", "parquet"),
+            "raw_ordinal": settings.get("RAW_ORDINAL"),
             "table_names": {table: settings[key] for key, table in named.items() if settings.get(key)},
         }
         return cls(mart=mart, **{**values, **overrides})

@@ -109,12 +109,14 @@ def orphans(fact: DataFrame, table: Table, dims: Mapping[str, DataFrame]) -> Dat
 
 
 def check_references(fact: DataFrame, table: Table, dims: Mapping[str, DataFrame]) -> DataFrame:
-    return (
-        orphans(fact, table, dims)
-        .groupBy("column")
-        .agg(F.sum("n_rows").alias("n_violations"), F.min("value").alias("sample_key"))
-        .select(F.lit("foreign_key").alias("constraint"), "column", "n_violations", "sample_key")
+    """K3, one row per foreign key, also for those without an orphan."""
+    refs = [c.name for c in table.columns if c.references and c.references[0] in dims]
+    found = orphans(fact, table, dims).agg(
+        *[F.expr(f"coalesce(sum(n_rows) FILTER (WHERE column = '{c}'), 0) AS n{i}") for i, c in enumerate(refs)],
+        *[F.expr(f"min(value) FILTER (WHERE column = '{c}') AS k{i}") for i, c in enumerate(refs)],
     )
+    rows = [f"struct('foreign_key' AS constraint, '{c}' AS column, n{i} AS n_violations, k{i} AS sample_key)" for i, c in enumerate(refs)]
+    return found.select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def require_none(*found: DataFrame) -> None:
@@ -125,7 +127,8 @@ def require_none(*found: DataFrame) -> None:
 
 
 def audit(fact: DataFrame, table: Table, dims: Mapping[str, DataFrame], dim_tables: tuple[Table, ...]) -> DataFrame:
-    """All of K1-K4 over a published mart."""
+    """K1-K4 over a published mart, a row for each constraint. K5 holds there by type: a number too
+    large for its column never gets past ``overflow_tests`` of a load."""
     found = [check_unique(fact, table.key), check_rows(fact, table), check_references(fact, table, dims)]
     for dim in dim_tables:
         found += [check_unique(dims[dim.name], dim.key), check_rows(dims[dim.name], dim)]

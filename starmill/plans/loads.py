@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -13,8 +13,9 @@ from starmill.config import MartConfig
 from starmill.contracts import Table
 from starmill.operators import checks, cleaning, dimensions, facts
 from starmill.operators.cleaning import CleanSpec
-from starmill.operators.upsert import merge_clustered, upsert
-from starmill.sources import shared
+from starmill.operators.upsert import upsert
+from starmill.sources import seeds, shared
+from starmill.sources.reader import read_raw
 from starmill.sources.warehouse import Run, Warehouse
 
 
@@ -46,6 +47,9 @@ MARKETING = Mart(
 )
 
 
+REJECTED = "rejected_rows"
+
+
 @dataclass(frozen=True)
 class LoadReport:
     """What a load did with its rows."""
@@ -61,30 +65,69 @@ class LoadReport:
 def load(spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame, mode: str = "upsert") -> LoadReport:
     """Load one batch. ``mode="rebuild"`` starts from empty tables instead of the published ones.
 
-    The clean batch is written once: every dimension and the fact then read only their own columns
-    of it. All tables appear together when the run is published; a violated contract raises before.
+    The source is read and parsed once, into a table of complete rows and one of rejected rows with
+    reasons, which becomes part of the run. The clean batch is written once too: every dimension and
+    the fact read only their own columns of it. All counts come from these tables. All tables appear
+    together when the run is published; a violated contract raises before.
     """
+    run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
     parsed = cleaning.parse(mart.spec.canonicalize(raw), mart.spec)
-    path = shared.new_path(spark, f"clean-{mart.name}")
+    path = shared.new_path(spark, f"load-{mart.name}")
     try:
-        clean = shared.materialize(cleaning.last_complete(parsed), path)
-        run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
-        dims = _load_dims(run, mart, clean)
-        _load_fact(run, mart, clean, dims)
-        seen = cleaning.tally(parsed, mart.spec).first()
+        complete, incomplete = cleaning.split(parsed, f"{path}/parsed")
+        clean = shared.materialize(cleaning.last_of(complete), f"{path}/clean")
         kept = clean.count()
+        dims = _load_dims(run, mart, clean)
+        _load_fact(run, mart, clean, dims, kept)
+        run.write_side(REJECTED, cleaning.rejects(incomplete).drop(cleaning.LACKING))
+        lacking = [F.count_if(cond).alias(c) for c, cond in cleaning.missing(mart.spec).items()]
+        seen = incomplete.agg(F.count("*").alias("rows"), *lacking).first()
+        usable = complete.count()
+        reasons = {c: seen[c] for c in cleaning.missing(mart.spec) if c in mart.spec.required or seen[c]}
         return LoadReport(
             run=run.publish(),
-            raw=seen.raw_rows,
-            rejected=seen.rejected_rows,
-            superseded=seen.raw_rows - seen.rejected_rows - kept,
+            raw=usable + seen["rows"],
+            rejected=seen["rows"],
+            superseded=usable - kept,
             clean=kept,
-            rejected_by_reason={c: seen[f"lacking_{c}"] for c in mart.spec.required},
+            rejected_by_reason=reasons,
         )
     finally:
         shared.discard(spark, path)
 
 
+def create(spark: SparkSession, config: MartConfig, mart: Mart) -> int:
+    """Publish the rows that tables have before any load: the five stages. Does nothing to a mart
+    that has been published. Returns the number of the newest run."""
+    warehouse = Warehouse(spark, config)
+    newest, _ = warehouse.published()
+    if newest:
+        return newest
+    run = warehouse.start()
+    for table in mart.dims:
+        seeded = table is contracts.DIM_STAGE
+        run.write(table, seeds.stage_seed(spark).select(*table.names) if seeded else warehouse.scan(table, ()))
+    return run.publish()
+
+
+def run(
+    spark: SparkSession,
+    mart: Mart,
+    settings: Mapping[str, str] | None = None,
+    mode: str = "upsert",
+    **overrides,
+) -> LoadReport:
+    """From settings to a finished load: create the mart if need be, read the raw table that the
+    settings name (a catalog table, or files with ``RAW_PATH``), load it, and report."""
+    config = MartConfig.from_settings(mart.name, settings, **overrides)
+    create(spark, config, mart)
+    if config.raw_path:
+        raw = read_raw(spark, config.raw_path, config.raw_format, config.raw_ordinal)
+    else:
+        raw = read_raw(spark, table=config.raw_name, ordinal=config.raw_ordinal)
+    return load(spark, config, mart, raw, mode)
+
+
 def _load_dims(run: Run, mart: Mart, clean: DataFrame) -> dict[str, DataFrame]:
     """Merge and write every dimension. They do not depend on each other, so their jobs overlap."""
     batches = mart.build_dims(clean)
@@ -99,7 +142,8 @@ def _load_dims(run: Run, mart: Mart, clean: DataFrame) -> dict[str, DataFrame]:
     return written
 
 
-def _load_fact(run: Run, mart: Mart, clean: DataFrame, dims: dict[str, DataFrame]) -> None:
+def _load_fact(run: Run, mart: Mart, clean: DataFrame, dims: dict[str, DataFrame], rows: int) -> None:
+    """Merge the batch of ``rows`` rows into the files that it meets."""
     table = mart.fact
     batch = mart.build_fact(clean)
     tests = checks.not_null_tests(table) + checks.length_tests(table)
@@ -112,11 +156,8 @@ def _load_fact(run: Run, mart: Mart, clean: DataFrame, dims: dict[str, DataFrame
     )
     if table.insert_only:
         batch = batch.select("*", *[F.localtimestamp().alias(c) for c in table.insert_only])
-    buckets = run.touched(batch, table.key)
-    current = run.current(table, buckets)
-    slices = run.slice_of(table.key)
-    if current is None:
-        rows = batch.repartition(slices)
-    else:
-        rows = merge_clustered(current, batch, table.key, slices, table.insert_only)
-    run.write_buckets(table, rows, buckets)
+    files, updated = run.files_to_merge(table, batch)
+    if files:
+        rows += sum(d.rows for d in files) - updated
+        batch = upsert(run.warehouse.scan(table, files), batch, table.key, table.policy, table.insert_only)
+    run.write_files(table, batch, rows, files)

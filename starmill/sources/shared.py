@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where Spark itself is local."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's ``spark.checkpoint.dir``, or the folder given to ``setCheckpointDir``; a temporary
+    folder only where all of Spark runs in this process."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.conf.get("spark.app.id")
     if app not in _local_folders:
@@ -48,6 +52,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, target = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def place(path: str) -> str:
+    """A path in one spelling, however the local file system and odd characters are written."""
+    return unquote(re.sub(r"^file:/*(?=/)", "", path))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a name that must be free; False if it is taken.
+
+    One step on file systems whose rename is one, such as HDFS. A store without such a rename needs
+    a lock around publishing.
+    """
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(hadoop.Path(source), hadoop.Path(target), no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def state_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Change time, size and number of files of a table, from its listing alone."""
     files, target = _file_system(spark, path)

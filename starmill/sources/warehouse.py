@@ -2,31 +2,52 @@
 
 Layout under ``<root>/<mart>/``::
 
-    manifest/run=<n>/     the data folders that make up every table as of run n
-    <table>/v<n>-<id>/    data written by run n; the fact table has bucket=<b>/ folders inside
-
-A run writes new folders only, then one manifest naming the folders of all tables. Readers follow
-the newest manifest, so they see either the whole run or nothing of it, and a run that dies leaves
-only folders nobody reads.
-
-The fact table is cut by order id: ``orders_per_file`` consecutive ids form a slice, slices form
-buckets. An upsert reads and rewrites only buckets that hold an id of the batch, so its cost
-follows the batch and not the table. Ids are unique, which bounds every slice and so every file.
+    manifest/run=<n>/     the data that makes up every table as of run n
+    <table>/v<n>-<id>/    data written by run n
+
+A run writes new folders only, then one manifest that names the data of all tables. The manifest is
+written under a name nobody reads and becomes visible by one rename that fails if that run number is
+taken. So readers see the whole run or nothing of it; a run that dies leaves folders nobody reads
+and blocks nothing; and of two runs that start together one is published and the other refused.
+
+The fact is a set of files of about ``rows_per_file`` rows. The manifest keeps the smallest and the
+largest key of each. A load looks up which files hold a key of its batch, merges the batch with
+those and with files that are less than half full, and writes the result in ranges of the key. Other
+files stay. The number of files follows the number of rows for dense, sparse and negative keys alike.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.config import MartConfig
 from starmill.contracts import Table
 from starmill.sources import shared
 
-_WHOLE = -1
-_ENTRY = "table STRING, bucket INT, path STRING, layout STRING"
+_ENTRY = "table STRING, path STRING, first LONG, last LONG, rows LONG"
+FILE = "_file"
+
+
+@dataclass(frozen=True)
+class Data:
+    """A folder of a dimension, or one file of a fact with its key range and number of rows."""
+
+    path: str
+    first: int | None = None
+    last: int | None = None
+    rows: int | None = None
+
+
+Tables = dict[str, tuple[Data, ...]]
+
+
+class RunTaken(RuntimeError):
+    """Another run was published first; this one is not, and can be started again."""
 
 
 class Warehouse:
@@ -37,125 +58,147 @@ class Warehouse:
         self.config = config
         self.base = f"{config.root}/{config.mart}"
 
-    def _manifest(self) -> DataFrame | None:
-        path = f"{self.base}/manifest"
-        if not shared.exists(self.spark, path):
-            return None
-        return self.spark.read.schema(f"run INT, {_ENTRY}").parquet(path)
-
-    def published(self) -> tuple[int, dict[str, dict[int, str]]]:
-        """Newest run and, per table, bucket -> folder. At most one entry per table and bucket."""
-        manifest = self._manifest()
-        if manifest is None:
-            return 0, {}
-        newest = manifest.agg(F.max("run")).scalar()
-        rows = manifest.filter(F.col("run") == newest).collect()
-        tables: dict[str, dict[int, str]] = {}
-        for r in rows:
-            tables.setdefault(r.table, {})[r.bucket] = r.path
-        return (rows[0].run if rows else 0), tables
-
-    @property
-    def layout(self) -> str:
-        """How ids map to buckets. It has to stay the same while a mart lives, or keys would move."""
-        c = self.config
-        return f"{c.orders_per_file}x{c.files_per_bucket}/{c.buckets}"
+    def _runs(self) -> list[int]:
+        """Numbers of all manifests, newest first, complete or not; from names alone."""
+        names = shared.children(self.spark, f"{self.base}/manifest")
+        return sorted((int(m[1]) for n in names if (m := re.fullmatch(r"run=(\d+)", n))), reverse=True)
+
+    def _tables(self, run: int) -> Tables:
+        tables: dict[str, list[Data]] = {}
+        for r in self.spark.read.schema(_ENTRY).parquet(f"{self.base}/manifest/run={run}").collect():
+            tables.setdefault(r.table, []).append(Data(r.path, r["first"], r["last"], r.rows))
+        return {t: tuple(sorted(data, key=lambda d: d.path)) for t, data in tables.items()}
+
+    def published(self) -> tuple[int, Tables]:
+        """Newest complete run and the data of its tables; reads that run's manifest only."""
+        for run in self._runs():
+            if tables := self._tables(run):
+                return run, tables
+        return 0, {}
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete the data folders that none of the last ``keep`` runs uses; call when no reader is older."""
-        manifest = self._manifest()
-        if manifest is None:
+        """Delete all but the last ``keep`` runs: their manifests, and data that only they or failed
+        runs wrote. Data of a run that may still be in progress, which has a higher number than any
+        published one, stays. Call when no reader is older than the runs kept."""
+        kept: list[tuple[int, Tables]] = []
+        runs = self._runs()
+        for run in runs:
+            if len(kept) < keep and (tables := self._tables(run)):
+                kept.append((run, tables))
+        if not kept:
             return []
-        oldest = manifest.agg(F.max("run") - keep + 1).scalar()
-        used = manifest.groupBy("path").agg(F.max("run").alias("last_run"))
-        dead = sorted(r.path for r in used.filter(F.col("last_run") < oldest).collect())
+        newest, oldest = kept[0][0], kept[-1][0]
+        used = {shared.place(d.path) for _, tables in kept for data in tables.values() for d in data}
+        with_used = {p.rsplit("/", 1)[0] for p in used if p.endswith(".parquet")}
+        dead = [f"{self.base}/manifest/run={run}" for run in runs if run < oldest]
+        for table in shared.children(self.spark, self.base):
+            for name in shared.children(self.spark, f"{self.base}/{table}"):
+                written = re.fullmatch(r"v(\d+)-\w+", name)
+                path = f"{self.base}/{table}/{name}"
+                if not written or int(written[1]) > newest or shared.place(path) in used:
+                    continue
+                if shared.place(path) in with_used:
+                    files = [f"{path}/{f}" for f in shared.children(self.spark, path) if f.endswith(".parquet")]
+                    dead += [f for f in files if shared.place(f) not in used]
+                else:
+                    dead.append(path)
         for path in dead:
             shared.discard(self.spark, path)
-        return dead
+        return sorted(dead)
 
     def read(self, table: Table) -> DataFrame:
         """The published rows of a table; empty before the first run."""
         _, tables = self.published()
-        return self.scan(table, sorted(tables.get(self.config.table(table.name), {}).values()))
+        return self.scan(table, tables.get(self.config.table(table.name), ()))
 
-    def scan(self, table: Table, folders: Sequence[str]) -> DataFrame:
-        if not folders:
+    def scan(self, table: Table, data: Sequence[Data]) -> DataFrame:
+        if not data:
             columns = [F.lit(None).cast(c.dtype).alias(c.name) for c in table.columns]
             return self.spark.range(0).select(*columns)
-        return self.spark.read.schema(table.schema).parquet(*folders)
+        return self.spark.read.schema(table.schema).parquet(*[d.path for d in data])
 
     def start(self, rebuild: bool = False) -> Run:
-        """Begin a run on top of the published tables, or of none of them."""
-        last, tables = self.published()
-        if last and not rebuild:
-            self._require_layout(last)
-        return Run(self, last + 1, {} if rebuild else tables)
+        """Begin a run on top of the published tables, or of none of them.
 
-    def _require_layout(self, run: int) -> None:
-        found = self._manifest().filter(F.col("run") == run).first().layout
-        if found != self.layout:
-            raise ValueError(f"the published fact is cut as {found}, the configuration says {self.layout}")
+        Its number is above that of any manifest found, also of one that was never completed.
+        """
+        _, tables = self.published()
+        return Run(self, max(self._runs(), default=0) + 1, {} if rebuild else tables)
 
 
 class Run:
-    """One load: writes folders, then publishes them together."""
+    """One load: writes data, then publishes it together."""
 
-    def __init__(self, warehouse: Warehouse, number: int, tables: dict[str, dict[int, str]]):
+    def __init__(self, warehouse: Warehouse, number: int, tables: Tables):
         self.warehouse = warehouse
         self.config = warehouse.config
         self.number = number
         self.before = tables
-        self.after = {t: dict(folders) for t, folders in tables.items()}
+        self.after = dict(tables)
         self.tag = f"v{number}-{uuid.uuid4().hex[:8]}"
 
-    def current(self, table: Table, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        """Rows of a table before this run, of some buckets only if given; None if there is no table."""
-        folders = self.before.get(self.config.table(table.name))
-        if folders is None:
-            return None
-        wanted = [p for b, p in folders.items() if buckets is None or b in set(buckets)]
-        return self.warehouse.scan(table, sorted(wanted))
+    def current(self, table: Table) -> DataFrame | None:
+        """Rows of a table before this run; None if there is no table."""
+        data = self.before.get(self.config.table(table.name))
+        return None if data is None else self.warehouse.scan(table, data)
 
     def write(self, table: Table, df: DataFrame) -> DataFrame:
         """Write a whole table and read it back."""
-        path = self._path(table)
-        df.select(*table.names).write.mode("overwrite").parquet(path)
-        self.after[self.config.table(table.name)] = {_WHOLE: path}
-        return self.warehouse.scan(table, [path])
-
-    def slice_of(self, key: str, files: int = 1) -> Column:
-        return F.expr(f"`{key}` div {self.config.orders_per_file * files}")
-
-    def bucket_of(self, key: str) -> Column:
-        slices = self.slice_of(key, self.config.files_per_bucket)
-        return F.pmod(slices, F.lit(self.config.buckets)).cast("int")
-
-    def touched(self, batch: DataFrame, key: str) -> list[int]:
-        """Buckets a batch has rows in: at most ``config.buckets`` numbers come to the driver."""
-        return [r.bucket for r in batch.select(self.bucket_of(key).alias("bucket")).distinct().collect()]
-
-    def write_buckets(self, table: Table, df: DataFrame, buckets: Sequence[int]) -> None:
-        """Write the given buckets of a fact table; its other buckets keep their folders.
-
-        ``df`` comes clustered by ``slice_of`` the key, so a task writes whole slices. Clustering by
-        slice needs no sampling pass, and since ids are unique no slice can outgrow the others.
+        path = self._path(table.name)
+        df.select(*table.names).write.parquet(path)
+        self.after[self.config.table(table.name)] = (Data(path),)
+        return self.warehouse.scan(table, self.after[self.config.table(table.name)])
+
+    def write_side(self, name: str, df: DataFrame) -> str:
+        """Write rows that no contract describes, such as rejects; the folder is part of the run."""
+        path = self._path(name)
+        df.write.parquet(path)
+        self.after[self.config.table(name)] = (Data(path),)
+        return path
+
+    def files_to_merge(self, table: Table, batch: DataFrame) -> tuple[tuple[Data, ...], int]:
+        """Files that hold a key of the batch, or are less than half full, and how many keys they share.
+
+        Files outside the batch's range are known from the manifest. Of the others only the key
+        column is read. At most one row per file comes to the driver.
         """
-        path = self._path(table)
-        rows = df.select(*table.names, self.bucket_of(table.key).alias("bucket"))
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        kept = self.after.setdefault(self.config.table(table.name), {})
-        kept.update({b: f"{path}/bucket={b}" for b in buckets})
+        files = self.before.get(self.config.table(table.name), ())
+        low, high = batch.agg(F.min(table.key), F.max(table.key)).first()
+        if low is None:
+            return (), 0
+        near = [d for d in files if d.first <= high and d.last >= low]
+        shared_keys: dict[str, int] = {}
+        if near:
+            keys = self.warehouse.scan(table, near).select(table.key, F.col("_metadata.file_path").alias(FILE))
+            found = keys.join(batch.select(table.key), table.key, "left_semi").groupBy(FILE).count()
+            shared_keys = {shared.place(path): n for path, n in found.collect()}
+        small = self.config.rows_per_file // 2
+        merged = tuple(d for d in files if d.path in shared_keys or d.rows < small)
+        return merged, sum(shared_keys.values())
+
+    def write_files(self, table: Table, df: DataFrame, rows: int, instead_of: Sequence[Data] = ()) -> None:
+        """Write the ``rows`` rows of ``df`` in ranges of the key, in place of the given files."""
+        kept = [d for d in self.before.get(self.config.table(table.name), ()) if d not in set(instead_of)]
+        path = self._path(table.name)
+        if rows:
+            files = -(-rows // self.config.rows_per_file)
+            df.select(*table.names).repartitionByRange(files, table.key).sortWithinPartitions(table.key).write.parquet(path)
+            found = self.warehouse.scan(table, [Data(path)]).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(
+                F.min(table.key).alias("first"), F.max(table.key).alias("last"), F.count("*").alias("n")
+            )
+            kept += [Data(shared.place(r[FILE]), r["first"], r["last"], r.n) for r in found.collect()]
+        self.after[self.config.table(table.name)] = tuple(kept)
 
     def publish(self) -> int:
-        layout = self.warehouse.layout
-        rows = [(t, b, p, layout) for t, folders in self.after.items() for b, p in folders.items()]
-        (
-            self.warehouse.spark.createDataFrame(rows, _ENTRY)
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .parquet(f"{self.warehouse.base}/manifest/run={self.number}")
-        )
+        """Make the run visible. Raises ``RunTaken`` if a run of this number is there already."""
+        spark, folder = self.warehouse.spark, f"{self.warehouse.base}/manifest"
+        rows = [(t, d.path, d.first, d.last, d.rows) for t, data in self.after.items() for d in data]
+        hidden = f"{folder}/_new-{uuid.uuid4().hex}"
+        spark.createDataFrame(rows, _ENTRY).coalesce(1).write.parquet(hidden)
+        if not shared.rename(spark, hidden, f"{folder}/run={self.number}"):
+            shared.discard(spark, hidden)
+            raise RunTaken(f"run {self.number} of {self.warehouse.base} was published by another load")
         return self.number
 
-    def _path(self, table: Table) -> str:
-        return f"{self.warehouse.base}/{self.config.table(table.name)}/{self.tag}"
+    def _path(self, name: str) -> str:
+        return f"{self.warehouse.base}/{self.config.table(name)}/{self.tag}"

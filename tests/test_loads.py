@@ -15,7 +15,7 @@ from starmill.plans import loads
 from starmill.sources import testdata
 from starmill.sources.headers import ORDINAL
 from starmill.sources.reader import read_raw
-from starmill.sources.warehouse import Warehouse
+from starmill.sources.warehouse import RunTaken, Warehouse
 
 SALES = ["Order ID", "ngay", "Vung", "chi_nhanh", "San Pham", "Danh-Muc", "Doanh Thu"]
 MARKETING = ["order_id", "date", "stage", "channel", "revenue", "campaign"]
@@ -41,7 +41,7 @@ SECOND = [
 
 @pytest.fixture
 def config(tmp_path):
-    return MartConfig(str(tmp_path), "revenue", orders_per_file=10, files_per_bucket=2, buckets=8)
+    return MartConfig(str(tmp_path), "revenue", rows_per_file=2)
 
 
 def test_two_batches(spark, config, rows):
@@ -63,34 +63,134 @@ def test_two_batches(spark, config, rows):
     assert found.filter("n_violations > 0").count() == 0
 
 
-def test_only_buckets_of_the_batch_are_rewritten(spark, config):
-    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST))
-    warehouse = Warehouse(spark, config)
-    _, before = warehouse.published()
-    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, SECOND, 100))
-    _, after = warehouse.published()
-    moved = {b for b in after["fact_sales"] if after["fact_sales"][b] != before["fact_sales"].get(b)}
-    assert set(before["fact_sales"]) == {0, 900 // 20 % 8}
-    assert moved == {0}
+def sales(ids, day="2024-01-05"):
+    return [(str(i), day, "North", "B1", "P1", "Milk", "1") for i in ids]
+
 
+def fact_files(spark, config):
+    return set(Warehouse(spark, config).published()[1]["fact_sales"])
 
-def test_changed_layout_is_refused(spark, config):
+
+IDS = {
+    "dense": range(400),
+    "hashed": [(i * 2862933555777941757) % 9223372036854775783 - 4611686018427387891 for i in range(1, 401)],
+    "negative": range(-400, 0),
+}
+
+
+@pytest.mark.parametrize("kind", list(IDS))
+def test_number_of_files_follows_rows_and_a_load_touches_only_files_it_meets(spark, tmp_path, kind):
+    ids = list(IDS[kind])
+    config = MartConfig(str(tmp_path), "revenue", rows_per_file=40)
+    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, sales(ids)))
+    before = fact_files(spark, config)
+    assert len(before) == 10 and sum(d.rows for d in before) == 400
+    few = sorted(ids)[:3]
+    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, sales(few, "2024-02-01")))
+    after = fact_files(spark, config)
+    assert len(after) <= 12 and sum(d.rows for d in after) == 400
+    assert len(before & after) >= 8
+    fact = Warehouse(spark, config).read(FACT_SALES)
+    assert fact.count() == 400 and {r.order_id for r in fact.filter("month(full_date) = 2").collect()} == set(few)
+
+
+def test_small_files_do_not_pile_up(spark, tmp_path):
+    config = MartConfig(str(tmp_path), "revenue", rows_per_file=40)
+    for i in range(4):
+        loads.load(spark, config, loads.REVENUE, raw(spark, SALES, sales(range(10 * i, 10 * i + 10))))
+    assert len(fact_files(spark, config)) <= 2  # each at least half full
+
+
+def test_file_size_may_change_from_load_to_load(spark, config):
     loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST))
-    other = replace(config, orders_per_file=20)
-    with pytest.raises(ValueError, match="cut as 10x2/8"):
-        Warehouse(spark, other).start()
+    other = replace(config, rows_per_file=100)
     assert Warehouse(spark, other).start(rebuild=True).number == 2
-    assert Warehouse(spark, other).read(FACT_SALES).count() == 3
+    loads.load(spark, other, loads.REVENUE, raw(spark, SALES, SECOND, 100))
+    assert Warehouse(spark, other).read(FACT_SALES).count() == 4 and len(fact_files(spark, other)) == 1
 
 
-def test_vacuum_deletes_only_unused_folders(spark, config):
-    for i, batch in enumerate((FIRST, SECOND)):
-        loads.load(spark, config, loads.REVENUE, raw(spark, SALES, batch, 100 * i))
+def test_vacuum_deletes_old_runs_and_failed_ones_but_not_one_in_progress(spark, config, tmp_path):
     warehouse = Warehouse(spark, config)
+    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST))
+    failed = warehouse.start()
+    failed.write(DIM_BRANCH, warehouse.read(DIM_BRANCH))
+    loads.load(spark, config, loads.REVENUE, raw(spark, SALES, SECOND, 100))
+    waiting = warehouse.start()
+    waiting.write(DIM_BRANCH, warehouse.read(DIM_BRANCH))
+    rows = warehouse.read(FACT_SALES).count()
     dead = warehouse.vacuum(keep=1)
-    assert dead and not any("bucket=5" in p for p in dead)
-    assert warehouse.read(FACT_SALES).count() == 4
-    assert warehouse.vacuum(keep=1) == dead
+    assert any(failed.tag in p for p in dead) and not any(waiting.tag in p for p in dead)
+    assert any(p.endswith("manifest/run=1") for p in dead)
+    assert warehouse.read(FACT_SALES).count() == rows == 4
+    assert (tmp_path / "revenue" / "dim_branch" / waiting.tag).exists()
+    assert not (tmp_path / "revenue" / "dim_branch" / failed.tag).exists()
+    assert warehouse.vacuum(keep=1) == []
+    assert waiting.publish() == 3 and warehouse.read(FACT_SALES).count() == 4
+
+
+def test_left_over_manifest_of_a_dead_run_blocks_nothing(spark, config, tmp_path):
+    for n in (1, 3):
+        (tmp_path / "revenue" / "manifest" / f"run={n}" / "_temporary" / "0").mkdir(parents=True)
+        assert loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST)).run == n + 1
+    assert Warehouse(spark, config).read(FACT_SALES).count() == 3
+
+
+def test_of_two_writers_one_is_refused_and_nothing_is_mixed(spark, config):
+    warehouse = Warehouse(spark, config)
+    one, two = warehouse.start(), warehouse.start()
+    for run, names in ((one, ["B1"]), (two, ["B1", "B2"])):
+        run.write(DIM_BRANCH, spark.createDataFrame([(n, "North") for n in names], DIM_BRANCH.schema))
+    assert two.publish() == 1
+    with pytest.raises(RunTaken):
+        one.publish()
+    assert warehouse.read(DIM_BRANCH).count() == 2
+    assert loads.load(spark, config, loads.REVENUE, raw(spark, SALES, FIRST)).run == 2
+
+
+def test_rejected_rows_are_kept_with_reasons(spark, config):
+    batch = [*FIRST, ("7", "9999-12-31", "North", "B1", "P1", None, "10"), ("8", "no", " ", "B1", "P1", None, "1")]
+    report = loads.load(spark, config, loads.REVENUE, raw(spark, SALES, batch))
+    assert report.rejected_by_reason == {"order_id": 1, "date": 1, "region": 1, "revenue": 0, "date_span": 1}
+    assert (report.raw, report.rejected, report.superseded, report.clean) == (7, 3, 1, 3)
+    _, tables = Warehouse(spark, config).published()
+    kept = spark.read.parquet(tables[loads.REJECTED][0].path)
+    reasons = sorted(tuple(sorted(r.reasons)) for r in kept.collect())
+    assert reasons == [("date", "region"), ("date_span",), ("order_id",)]
+
+
+def test_source_is_read_once_per_load(spark, config, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    source = raw(spark, SALES, FIRST)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    loads.load(spark, config, loads.REVENUE, source.mapInArrow(watch, source.schema))
+    assert seen.value == len(FIRST)
+
+
+def test_create_leaves_the_seeded_stages(spark, tmp_path):
+    config = MartConfig(str(tmp_path), "marketing")
+    assert loads.create(spark, config, loads.MARKETING) == 1
+    assert sorted(r.stage_order for r in Warehouse(spark, config).read(DIM_STAGE).collect()) == [1, 2, 3, 4, 5]
+    assert loads.create(spark, config, loads.MARKETING) == 1
+    loads.load(spark, config, loads.MARKETING, raw(spark, MARKETING, [("1", "2024-01-01", "Demo", "TV", "5", "Tet")]))
+    assert Warehouse(spark, config).read(DIM_STAGE).count() == 6
+
+
+def test_settings_to_finished_load(spark, tmp_path):
+    raw(spark, SALES, FIRST).write.parquet(str(tmp_path / "sheet"))
+    settings = {"DB_SCHEMA_DWH": str(tmp_path / "dw"), "RAW_PATH": str(tmp_path / "sheet"), "RAW_ORDINAL": ORDINAL}
+    report = loads.run(spark, loads.REVENUE, settings)
+    assert (report.raw, report.clean) == (5, 3)
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging_area")
+    name = f"sheet_{tmp_path.name}".replace("-", "_")
+    raw(spark, SALES, SECOND, 100).write.option("path", str(tmp_path / "table")).saveAsTable(f"staging_area.{name}")
+    settings = {"DB_SCHEMA_DWH": str(tmp_path / "dw"), "DB_SCHEMA_STAGING": "staging_area", "RAW_TABLE": name, "RAW_ORDINAL": ORDINAL}
+    assert loads.run(spark, loads.REVENUE, settings).clean == 2
+    assert Warehouse(spark, MartConfig.from_settings("revenue", settings)).read(FACT_SALES).count() == 4
 
 
 def test_rerun_changes_nothing(spark, config):
@@ -161,7 +261,7 @@ def test_renamed_tables(spark, tmp_path):
     assert Warehouse(spark, config).read(FACT_SALES).count() == 3
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
 def test_file_order_decides_which_row_is_last(spark, tmp_path, config, fmt):
     path = str(tmp_path / f"raw-{fmt}")
     for i, region in enumerate(["a", "b", "c"]):
@@ -183,7 +283,7 @@ def test_named_ordinal_and_database_source(spark, tmp_path):
 
 def test_loading_in_two_deliveries_equals_loading_at_once(spark, sf_dir, tmp_path):
     source = testdata.raw_sales(spark, sf_dir)
-    once, twice = (MartConfig(str(tmp_path / d), "revenue", orders_per_file=500) for d in ("once", "twice"))
+    once, twice = (MartConfig(str(tmp_path / d), "revenue", rows_per_file=500) for d in ("once", "twice"))
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)
         loads.load(spark, once, loads.REVENUE, source)
