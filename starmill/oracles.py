@@ -51,7 +51,8 @@ def average(expr: str, scale: int = 2) -> str:
 
 _LINES = f"""lines AS (
     SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS p, l_suppkey, l_shipdate,
-           CAST(l_shipdate AS DATE) AS day, r_name, n_name, p_name, p_type, p_brand, p_size,
+           CAST(l_shipdate AS DATE) AS day,
+           CASE WHEN l_partkey % 43 = 2 THEN 'AFRICA' ELSE r_name END AS r_name, n_name, p_name, p_type, p_brand, p_size,
            o_orderpriority, c_mktsegment, {dec('l_quantity')} AS quantity,
            {dec('l_extendedprice')} AS price, {dec('l_discount')} AS discount,
            {dec('l_tax')} AS tax, {dec('p_retailprice')} AS retail
@@ -116,7 +117,7 @@ SALES_FACT = (
 )
 PRODUCTS = """products AS (
     SELECT product AS product_name, category FROM clean WHERE product IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey) = 1
+    QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey, category) = 1
 )"""
 
 # -- the marketing table -------------------------------------------------------------------------
@@ -150,15 +151,15 @@ _EVENTS = f"""events_k AS (
            {money('k % 5')} AS calls, {money('k % 7')} AS waiting_time,
            {ratio('k', '100', 0, 0)} AS conversion_proxy, {money('user_id')} AS budget, target,
            {money(f'v * CAST(0.05 AS {MONEY})')} AS marketing_cost,
-           CAST(NULL AS {RATE}) AS roi_marketing,
+           {ratio('v - cost', 'user_id + 1', 2, 0)} AS roi_marketing,
            {money(f'v * CAST(0.30 AS {MONEY})')} AS raw_material_cost,
            {money(f'v * CAST(0.20 AS {MONEY})')} AS labor_cost,
            {money(f'v * CAST(0.10 AS {MONEY})')} AS logistics_cost,
-           {ratio('cost', 'k % 20 + 1', 2, 0)} AS unit_cost, CAST(NULL AS {RATE}) AS revenue_per_unit,
+           {ratio('cost', 'k % 20 + 1', 2, 0)} AS unit_cost, {ratio('v', 'k % 20 + 1', 2, 0)} AS revenue_per_unit,
            {ratio('cost', 'k % 6 + 1', 2, 0)} AS cost_per_machine_unit, {money('10000 + k')} AS market_size,
-           {ratio('v', '10000 + k', 2, 0)} AS market_share, CAST(NULL AS {RATE}) AS region_profit_share,
-           CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS branch,
-           CAST(NULL AS VARCHAR) AS product, CAST(NULL AS VARCHAR) AS category
+           {ratio('v', '10000 + k', 2, 0)} AS market_share, {ratio('k', '1000', 0, 0)} AS region_profit_share,
+           'R' || CAST(user_id % 5 AS VARCHAR) AS region, 'B' || CAST(user_id % 9 AS VARCHAR) AS branch,
+           'P' || CAST(k % 12 AS VARCHAR) AS product, 'C' || CAST(k % 4 AS VARCHAR) AS category
     FROM costed
     WHERE event_id % 97 <> 5
     QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_id DESC) = 1
@@ -232,18 +233,54 @@ def _tests(source: str, constraint: str, tests: dict[str, str], key: str, table:
     return f"{source} " + " UNION ALL ".join(rows)
 
 
-def _declared() -> str:
-    """Every count of the revenue mart's contract is zero; foreign keys with no orphan give no row."""
-    from starmill.contracts import REVENUE_DIMS
+# The declared tables of the revenue mart, each column with its longest text (0: no
+# text), required columns in capitals, the key first.
+_DECLARED = {
+    "fact": "ORDER_ID 0, FULL_DATE 0, REGION_NAME 50, branch_name 100, product_name 150, channel_name 100, "
+    "segment_name 100, promotion_campaign 150, REVENUE 0",
+    "dates": "FULL_DATE 0, YEAR 0, MONTH 0, month_name 20, year_month 7",
+    "regions": "REGION_NAME 50",
+    "branches": "BRANCH_NAME 100, region_name 50",
+    "products": "PRODUCT_NAME 150, category 100",
+    "channels": "CHANNEL_NAME 100",
+    "segments": "SEGMENT_NAME 100",
+    "promotions": "PROMOTION_CAMPAIGN 150",
+}
+_REFERENCES = {
+    "full_date": "dates", "region_name": "regions", "branch_name": "branches", "product_name": "products",
+    "channel_name": "channels", "segment_name": "segments", "promotion_campaign": "promotions",
+}
 
-    rows = []
-    for table in (FACT_SALES, *REVENUE_DIMS):
-        rows.append(("primary_key", table.key))
-        rows += [("not_null", c.name) for c in table.columns if c.required]
-        rows += [("max_length", c.name) for c in table.columns if c.max_length]
-    values = ", ".join(f"('{a}', '{b}')" for a, b in rows)
-    return f"""SELECT a AS "constraint", b AS "column", CAST(0 AS BIGINT) AS n_violations,
-        CAST(NULL AS VARCHAR) AS sample_key FROM (VALUES {values}) AS t(a, b)"""
+
+def _declared() -> str:
+    """Every declared constraint, counted over the tables that the clean rows give."""
+    names = {"regions": "region", "channels": "channel", "segments": "customer_segment", "promotions": "promotion_campaign"}
+    tables = [f"fact AS (SELECT {SALES_FACT} FROM clean)", f"dates AS ({_DATE_DIM})"]
+    for table, column in names.items():
+        key = _DECLARED[table].split()[0].lower()
+        tables.append(f"{table} AS (SELECT DISTINCT {column} AS {key} FROM clean WHERE {column} IS NOT NULL)")
+    tables.append(
+        """branches AS (SELECT branch AS branch_name, region AS region_name FROM clean WHERE branch IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY branch ORDER BY l_shipdate DESC, p DESC, l_suppkey DESC, region) = 1)"""
+    )
+    row = """SELECT '{kind}' AS "constraint", '{column}' AS "column", COUNT(*) AS n_violations,
+        CAST(MIN({sample}) AS VARCHAR) AS sample_key FROM {rows}"""
+    found = []
+    for table, declared in _DECLARED.items():
+        columns = [part.split() for part in declared.split(", ")]
+        key = columns[0][0].lower()
+        repeated = f"(SELECT {key} FROM {table} GROUP BY {key} HAVING COUNT(*) > 1)"
+        found.append(row.format(kind="primary_key", column=key, sample=key, rows=repeated))
+        for name, length in columns:
+            column = name.lower()
+            if name.isupper():
+                found.append(row.format(kind="not_null", column=column, sample=key, rows=f"{table} WHERE {column} IS NULL"))
+            if int(length):
+                found.append(row.format(kind="max_length", column=column, sample=key, rows=f"{table} WHERE length({column}) > {length}"))
+    for column, table in _REFERENCES.items():
+        orphans = f"fact WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {column} FROM {table})"
+        found.append(row.format(kind="foreign_key", column=column, sample=column, rows=orphans))
+    return f"{SALES}, {PRODUCTS}, {', '.join(tables)} " + " UNION ALL ".join(found)
 
 
 def _upsert(body: str) -> str:
@@ -334,6 +371,11 @@ _EFFECT = (
 )
 _COMPONENTS = ("raw_material_cost", "labor_cost", "logistics_cost", "marketing_cost")
 
+_LAST_REGION = """QUALIFY row_number() OVER (
+    PARTITION BY branch ORDER BY l_shipdate DESC, p DESC, l_suppkey DESC, region) = 1"""
+_SPARSE = """CAST((CAST(order_id AS HUGEINT) * 2862933555777941757) % 9223372036854775783 AS BIGINT)
+    - 4611686018427387891"""
+
 ORACLES: dict[str, str] = {
     "sales_canonical": _sales_canonical(),
     "marketing_canonical": _marketing_canonical(),
@@ -353,7 +395,7 @@ ORACLES: dict[str, str] = {
     "dim_region": _distinct(SALES, "region", "region_name"),
     "dim_branch": f"""{SALES} SELECT branch AS branch_name, region AS region_name FROM clean
         WHERE branch IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY branch ORDER BY l_shipdate DESC, p DESC, l_suppkey DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY branch ORDER BY l_shipdate DESC, p DESC, l_suppkey DESC, region) = 1""",
     "dim_product": f"{SALES}, {PRODUCTS} SELECT * FROM products",
     "dim_channel": _distinct(SALES, "channel", "channel_name"),
     "dim_segment": _distinct(SALES, "customer_segment", "segment_name"),
@@ -380,10 +422,10 @@ ORACLES: dict[str, str] = {
     "upsert_keep_first": _upsert("COALESCE(a.{c}, b.{c})"),
     "upsert_products": f"""{BATCHES}, a AS (
             SELECT product, category FROM early WHERE product IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey) = 1
+            QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey, category) = 1
         ), b AS (
             SELECT product, category FROM late WHERE product IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey) = 1
+            QUALIFY row_number() OVER (PARTITION BY product ORDER BY l_shipdate, p, l_suppkey, category) = 1
         ) SELECT COALESCE(a.product, b.product) AS product_name, COALESCE(a.category, b.category) AS category
         FROM a FULL OUTER JOIN b ON a.product = b.product""",
     "revenue_load": f"{SALES} SELECT {SALES_FACT} FROM clean",
@@ -420,6 +462,23 @@ ORACLES: dict[str, str] = {
         "order_id",
         "parsed",
     ),
+    "sales_rejects": f"""WITH {_LINES} SELECT order_id, date, region, revenue, concat_ws(',',
+            CASE WHEN order_id IS NULL THEN 'order_id' END, CASE WHEN date IS NULL THEN 'date' END,
+            CASE WHEN region IS NULL THEN 'region' END, CASE WHEN revenue IS NULL THEN 'revenue' END) AS reasons
+        FROM parsed WHERE {_INCOMPLETE}""",
+    "upsert_sparse_ids": f"{SALES} SELECT * REPLACE ({_SPARSE} AS order_id) FROM (SELECT {SALES_FACT} FROM clean)",
+    "revenue_rebuild": f"{BATCHES} SELECT {SALES_FACT} FROM late",
+    "revenue_empty_batch": f"{SALES} SELECT {SALES_FACT} FROM clean",
+    "marketing_created_at": f"{MARKETING} SELECT COUNT(*) AS n_orders, COUNT(*) AS n_unchanged, "
+    "CAST(0 AS BIGINT) AS n_missing FROM clean",
+    "loaded_dim_branch": f"""{BATCHES}, a AS (SELECT branch, region FROM early WHERE branch IS NOT NULL {_LAST_REGION}),
+        b AS (SELECT branch, region FROM late WHERE branch IS NOT NULL {_LAST_REGION})
+        SELECT COALESCE(b.branch, a.branch) AS branch_name, COALESCE(b.region, a.region) AS region_name
+        FROM a FULL OUTER JOIN b ON a.branch = b.branch""",
+    "loaded_dim_stage": f"""{MARKETING}, {_STAGES} SELECT * FROM stages WHERE stage_order < 99
+        OR stage_name IN (SELECT stage FROM clean)""",
+    "loaded_dim_campaign": f"""{MARKETING} SELECT DISTINCT campaign AS campaign_name,
+        {_CAMPAIGN_TYPE} AS campaign_type FROM clean WHERE campaign IS NOT NULL""",
     "declared_contract": _declared(),
     "fk_orphans": _orphans(),
     "revenue_by_region": f"""{SALES}, r AS (SELECT region AS region_name, {_BY} FROM clean GROUP BY region),
@@ -495,3 +554,4 @@ ORACLES: dict[str, str] = {
         {average('market_size')} AS avg_market_size, {average('market_share', 6)} AS avg_market_share,
         {ratio('SUM(revenue)', 'SUM(market_size)')} AS revenue_of_market FROM clean GROUP BY 1""",
 }
+ORACLES["loaded_dim_product"] = ORACLES["upsert_products"]

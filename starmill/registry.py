@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -69,6 +70,12 @@ def marketing_rejects_by_reason(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.rejects_by_reason(parsed, cleaning.MARKETING)
 
 
+def sales_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Every incomplete raw row with what could be read of it and why it was rejected."""
+    rejected = cleaning.rejects(cleaning.parse(_raw_sales(spark, sf), cleaning.REVENUE))
+    return rejected.select("order_id", "date", "region", "revenue", F.array_join("reasons", ",").alias("reasons"))
+
+
 def sales_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     parsed = cleaning.parse(_raw_sales(spark, sf), cleaning.REVENUE)
     return cleaning.row_counts(parsed, clean_sales(spark, sf), cleaning.REVENUE)
@@ -122,12 +129,64 @@ def _warehouse(spark: SparkSession, mart: str) -> MartConfig:
     return MartConfig(shared.new_path(spark, "warehouse"), mart)
 
 
+def _deliver(spark: SparkSession, batches: Sequence[DataFrame], modes: Sequence[str] = ()) -> Warehouse:
+    """Write each batch as staged files and load it from settings that name them."""
+    root = shared.new_path(spark, "warehouse")
+    settings = {"DB_SCHEMA_DWH": root, "RAW_ORDINAL": ORDINAL}
+    for batch, mode in zip_longest(batches, modes, fillvalue="upsert"):
+        path = shared.new_path(spark, "delivery")
+        batch.write.parquet(path)
+        loads.run(spark, loads.REVENUE, {**settings, "RAW_PATH": path}, mode)
+    return Warehouse(spark, MartConfig.from_settings("revenue", settings))
+
+
 def revenue_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Both sales deliveries loaded one after the other; the published fact."""
-    config = _warehouse(spark, "revenue")
-    for batch in staging.sales_deliveries(spark, sf):
-        loads.load(spark, config, loads.REVENUE, batch)
-    return Warehouse(spark, config).read(FACT_SALES)
+    """Both sales deliveries loaded one after the other, from settings; the published fact."""
+    return _deliver(spark, staging.sales_deliveries(spark, sf)).read(FACT_SALES)
+
+
+def revenue_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """The second delivery loaded into a mart that starts anew; the first one is forgotten."""
+    return _deliver(spark, staging.sales_deliveries(spark, sf), ("upsert", "rebuild")).read(FACT_SALES)
+
+
+def revenue_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """All sales, then a batch without a row."""
+    raw = staging.raw_sales(spark, sf)
+    return _deliver(spark, (raw, raw.filter(F.lit(False)))).read(FACT_SALES)
+
+
+def upsert_sparse_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Both deliveries with ids scattered over 64 bits, half of them negative."""
+    number = numbers.to_order_id(F.col("`Order ID`")).cast("decimal(20,0)")
+    spread = F.lit(2862933555777941757).cast("decimal(19,0)")
+    prime = F.lit(9223372036854775783).cast("decimal(19,0)")
+    sparse = F.pmod(number * spread, prime).cast("long") - F.lit(4611686018427387891)
+    batches = [
+        raw.withColumn("Order ID", F.coalesce(sparse.cast("string"), "`Order ID`"))
+        for raw in staging.sales_deliveries(spark, sf)
+    ]
+    return _deliver(spark, batches).read(FACT_SALES)
+
+
+def _loaded_dim(table: contracts.Table) -> Query:
+    """A dimension as two loads leave it."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        if table in contracts.REVENUE_DIMS:
+            return _deliver(spark, staging.sales_deliveries(spark, sf)).read(table)
+        config = _warehouse(spark, "marketing")
+        for batch in _event_halves(spark, sf):
+            loads.load(spark, config, loads.MARKETING, batch)
+        return Warehouse(spark, config).read(table)
+
+    return query
+
+
+def _event_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    raw = staging.raw_marketing(spark, sf)
+    first = F.col(ORDINAL) % 20 < 10
+    return raw.filter(first), raw.filter(~first)
 
 
 def marketing_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,6 +197,20 @@ def marketing_load(spark: SparkSession, sf: str) -> DataFrame:
     return Warehouse(spark, config).read(FACT_MARKETING).drop("created_at")
 
 
+def marketing_created_at(spark: SparkSession, sf: str) -> DataFrame:
+    """How many orders keep the time they were inserted at when they are loaded again."""
+    config = _warehouse(spark, "marketing")
+    states = []
+    for name in ("created_at", "created_again"):
+        loads.load(spark, config, loads.MARKETING, staging.raw_marketing(spark, sf))
+        states.append(Warehouse(spark, config).read(FACT_MARKETING).select("order_id", F.col("created_at").alias(name)))
+    return states[0].join(states[1], "order_id", "full_outer").agg(
+        F.count("*").alias("n_orders"),
+        F.count_if(F.col("created_at") == F.col("created_again")).alias("n_unchanged"),
+        F.count_if(F.col("created_at").isNull() | F.col("created_again").isNull()).alias("n_missing"),
+    )
+
+
 # -- constraints ---------------------------------------------------------------------------------
 
 
@@ -172,10 +245,10 @@ def numeric_overflow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def declared_contract(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole contract of the revenue mart over its own rows; all counts are zero."""
-    clean = clean_sales(spark, sf)
-    dims = dimensions.revenue_dims(clean)
-    return checks.audit(facts.sales_fact(clean), FACT_SALES, dims, contracts.REVENUE_DIMS)
+    """The whole contract of the revenue mart over its published tables."""
+    mart = _deliver(spark, (staging.raw_sales(spark, sf),))
+    dims = {t.name: mart.read(t) for t in contracts.REVENUE_DIMS}
+    return checks.audit(mart.read(FACT_SALES), FACT_SALES, dims, contracts.REVENUE_DIMS)
 
 
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "clean_marketing": marketing_clean,
     "sales_rejects_by_reason": sales_rejects_by_reason,
     "marketing_rejects_by_reason": marketing_rejects_by_reason,
+    "sales_rejects": sales_rejects,
     "sales_row_counts": sales_row_counts,
     "marketing_row_counts": marketing_row_counts,
     "dim_date": _revenue_dim("dim_date"),
@@ -263,7 +337,15 @@ QUERIES: dict[str, Query] = {
     "upsert_ignore": upsert_ignore,
     "upsert_keep_first": upsert_keep_first,
     "upsert_products": upsert_products,
+    "upsert_sparse_ids": upsert_sparse_ids,
     "revenue_load": revenue_load,
+    "revenue_rebuild": revenue_rebuild,
+    "revenue_empty_batch": revenue_empty_batch,
+    "loaded_dim_branch": _loaded_dim(contracts.DIM_BRANCH),
+    "loaded_dim_product": _loaded_dim(contracts.DIM_PRODUCT),
+    "loaded_dim_stage": _loaded_dim(contracts.DIM_STAGE),
+    "loaded_dim_campaign": _loaded_dim(contracts.DIM_CAMPAIGN),
+    "marketing_created_at": marketing_created_at,
     "marketing_load": marketing_load,
     "pk_duplicates": pk_duplicates,
     "not_null_violations": not_null_violations,
