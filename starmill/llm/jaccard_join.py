@@ -290,6 +290,12 @@ def _fold(sketch: bytes, size: int) -> int:
     return value
 
 
+def _words(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches folded to ``size`` bits, as rows of 64-bit words."""
+    folded = b"".join(_fold(s, size).to_bytes(size // 8, "little") for s in sketches)
+    return np.frombuffer(folded, np.uint64).reshape(len(sketches), -1)
+
+
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose Hamming distance leaves a link possible."""
     for batch in batches:
@@ -364,13 +370,14 @@ def _last_pairs(key: tuple, table: pa.Table) -> pa.Table:
     sides = table.column("side").to_numpy()
     sketches = table.column("sketch").to_pylist()
     bits = min((len(s) * 8 for s in sketches), default=64)
-    folded = np.frombuffer(b"".join(_fold(s, bits).to_bytes(bits // 8, "little") for s in sketches), np.uint64).reshape(len(rows), -1)
+    fine, coarse = (_words(sketches, size) for size in (bits, max(64, bits // 4)))
     left, right = np.flatnonzero(sides <= 0), np.flatnonzero(sides >= 0)
     x, y = [], []
     for i in left.tolist():
         other = right[labels[right] != labels[i]]
-        far = np.bitwise_count(folded[other] ^ folded[i]).sum(axis=1, dtype=np.int64)
-        other = other[far <= differing(sizes[other], sizes[i])]
+        for sketch in (coarse, fine):  # folded sketches differ in no more bits, and are shorter
+            far = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            other = other[far <= differing(sizes[other], sizes[i])]
         other = other[~np.isin(smaller[other], smaller[i][smaller[i] >= 0]).any(axis=1)]
         x.append(np.full(len(other), rows[i]))
         y.append(rows[other])
