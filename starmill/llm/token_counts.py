@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from starmill.llm.tables import staged
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that belongs to this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,7 +71,8 @@ def with_suffix_sums(lengths: DataFrame) -> DataFrame:
     tokens that remain when every text is cut to that length; ``docs_upto``: texts up to that length.
     """
     block = F.floor(F.col("n_tokens") / BLOCK)
-    rows = lengths.withColumn("block", block).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+    # both uses of the histogram below read it from a table, so no text is encoded twice
+    rows = staged(lengths, "histogram").withColumn("block", block).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
     totals = rows.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))
     later = Window.orderBy("block").rowsBetween(1, Window.unboundedFollowing)  # one row per block
     everything = Window.partitionBy()
