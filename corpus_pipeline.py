@@ -1,7 +1,8 @@
 """From raw documents to a training mix, in five stages.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes it as Parquet to
-the shared folder and reads it back as the next stage's documents. All but the last return the
+the shared folder and reads it back as the next stage's documents. A stage begins by deleting the
+intermediate tables of the one before, so a result has to be written before the next stage is called. All but the last return the
 columns of ``documents``; each works on all that its predecessor kept:
 
 1. ``language_id`` drops documents without a letter or with less than half of their letters in one
@@ -22,28 +23,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.llm import decontaminate as winnowing, jaccard_join as jaccard, language_id as language, mixing as mix
 from starmill.llm import suffix_dedup as suffixes
-from starmill.llm.tables import staged
+from starmill.llm.tables import stage, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_known(docs)
+    with stage(spark):
+        return language.keep_known(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    with stage(spark):
+        return jaccard.keep_one(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    short = suffixes.drop_repeats(docs)
-    return short.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    with stage(spark):
+        short = suffixes.drop_repeats(docs)
+        return short.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return winnowing.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with stage(spark):
+        return winnowing.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix.mixed(docs)
+    with stage(spark):
+        return mix.mixed(docs)
 
 
 STAGES = [
@@ -60,6 +66,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, step in STAGES:
+        docs = staged(step(spark, docs, sf_dir), f"stage-{name}")
     return docs

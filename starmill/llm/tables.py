@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,10 +14,40 @@ REST = "rest"
 TEXT = "text"
 
 
+# Folders of intermediate tables, by application: those that the running stage makes, and those the
+# stage before it left.
+_making: dict[str, list[str]] = {}
+_left: dict[str, list[str]] = {}
+
+
+@contextmanager
+def stage(spark: SparkSession):
+    """One stage of a chain in which every result is written before the next stage begins.
+
+    What the stage before needed for its result is deleted first; what is made inside is remembered
+    for the next. Tables made outside of stages are never touched.
+    """
+    app = spark.sparkContext.applicationId
+    for path in _left.pop(app, []):
+        shared.discard(spark, path)
+    _making[app] = []
+    try:
+        yield
+    finally:
+        _left[app] = _making.pop(app)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    path = shared.new_path(spark, name)
+    if (made := _making.get(spark.sparkContext.applicationId)) is not None:
+        made.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = shared.new_path(spark, name)
+    path = _new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -46,5 +77,5 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     spark = df.sparkSession
     table, buckets = f"starmill_{name}_{uuid.uuid4().hex}", partitions(spark)
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd")
-    writer.option("path", shared.new_path(spark, name)).format("parquet").saveAsTable(table)
+    writer.option("path", _new_path(spark, name)).format("parquet").saveAsTable(table)
     return spark.table(table)
