@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starmill.llm import kernel as K
-from starmill.llm.tables import ROW, TEXT, numbered, restored, staged
+from starmill.llm.tables import ROW, TEXT
 
 FEATURES = 1 << 15  # hash buckets of trigrams, and as many of whole words
 SCRIPTS = 16
@@ -263,6 +264,20 @@ def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
     """``docs`` without those of no known language: ``und``, or with less than the share ``least``
     of their letters in one language. Learns from the documents themselves, as ``digest`` does."""
     model = learn(docs.filter(fold(F.col(f"`{doc_id}`")) != 0), text, lang)
-    table = staged(numbered(docs, text), "texts")
-    known = identify(table, model, with_spans=False).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return table.join(known.select(ROW), ROW).select(*restored(table, docs.columns, text))
+    if not model.names:
+        return docs.filter(F.lit(False))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    predict, at = _predict(shared, False), docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, letter = batch.columns
+            whole = pa.RecordBatch.from_arrays([pa.array(np.arange(len(batch))), row.field(at), letter], names=[ROW, TEXT, "letter"])
+            for found in predict(iter([whole])):
+                known = pc.and_(pc.not_equal(found.column(1), "und"), pc.greater_equal(found.column(2), least))
+                yield pa.RecordBatch.from_arrays([row.take(found.column(0).filter(known))], names=["row"])
+
+    letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), letter.alias("letter"))
+    schema = T.StructType([T.StructField("row", docs.schema)])
+    return packed.mapInArrow(keep, schema).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
