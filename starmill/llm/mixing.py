@@ -143,7 +143,7 @@ def mix(
     key = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
-        F.col(f"`{source}`").alias("source"),
+        F.col(f"`{source}`").cast("string").alias("source"),
         word_count(F.col(f"`{text}`")).alias("size"),
         key.alias("key"),
     )
@@ -159,12 +159,13 @@ def mix(
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.size") == F.col("b.size"))
     filled = F.coalesce(F.sum("docs").over(Window.partitionBy("a.source", "a.size").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edges = slots.alias("a").join(plan.alias("b"), same).select("a.source", "a.size", "slot", "copies", "source_size", "target", (F.col("more") - filled).alias("open"))
-    same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.size") == F.col("b.size")) & (F.col("a.slot") == F.col("b.slot"))
-    joined = packed.alias("a").join(edges.alias("b"), same)
-    place = F.row_number().over(Window.partitionBy("a.source", "a.size", "a.slot").orderBy("key"))
+    # one text for the source, null or not: the window below then needs no exchange beside the join's
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    group = ["named", "size", "slot"]
+    joined = packed.withColumn("named", named).drop("source").join(edges.withColumn("named", named).drop("source"), group)
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("key"))
     copies = F.col("copies") + F.when(place <= F.col("open"), 1).otherwise(0)
-    made = F.struct(F.col("a.size").alias("size"), "source_size", "target", copies.alias("copies")).alias("_mix")
-    return joined.select("row", made)
+    return joined.select("row", F.struct("size", "source_size", "target", copies.alias("copies")).alias("_mix"))
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
