@@ -120,7 +120,7 @@ def _posted(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Signatures that the sets of a piece post, and the set each belongs to."""
     sizes = np.diff(bounds)
     own = np.searchsorted(EDGES, sizes, "left") - 1
-    out, owners = [], []
+    out, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for step in (0, 1):
         band = own + step
         top = EDGES[np.minimum(band + 1, len(EDGES) - 1)]

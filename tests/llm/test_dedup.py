@@ -151,3 +151,14 @@ def test_keep_one_keeps_the_smallest_id_of_each_group(awkward):
     kept = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
     assert 7 in kept and 8 not in kept and 5 in kept and 6 not in kept
     assert {1, 2, 3, 4, 9, 10, 11, 13, 14, 17} <= set(kept)
+
+
+def test_texts_that_can_be_linked_with_equal_ones_only(spark):
+    """Texts of 1 to 6 words have one or two shingles and post no signature."""
+    rows = [(i, " ".join(f"q{i % 5}{j}" for j in range(1 + i % 6))) for i in range(40)] + [(50, ""), (51, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(brute_groups([(i, t or "") for i, t in rows]), key=key)
+    for parts in (1, len(rows)):  # one text in a partition, too
+        assert sorted((tuple(r) for r in jaccard_join.digest(docs.repartition(parts)).collect()), key=key) == expected
+    kept = [r.doc_id for r in jaccard_join.keep_one(docs).collect()]
+    assert sorted(kept) == sorted({c for _, n, c in expected if n} | {50, 51})
