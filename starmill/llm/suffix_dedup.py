@@ -141,7 +141,7 @@ def repeated(texts: DataFrame, width: int) -> DataFrame:
     nodes = texts.select(ROW, TEXT).mapInArrow(_anchors(width), NODE)
     judged = staged(_judge(staged(nodes, "runs")), "judged")
     found = judged.filter("settled").select(ROW, "at")
-    for block in BLOCKS:
+    for block in (b for b in BLOCKS if b < width):  # every window of a block must contain its core
         open_runs = _by_text(judged.filter("open"))
         with_text = texts.select(ROW, TEXT).join(open_runs.hint("shuffle_hash"), ROW)
         nodes = with_text.select(ROW, TEXT, "ats").mapInArrow(_split(width, block), NODE)

@@ -162,3 +162,17 @@ def test_texts_that_can_be_linked_with_equal_ones_only(spark):
         assert sorted((tuple(r) for r in jaccard_join.digest(docs.repartition(parts)).collect()), key=key) == expected
     kept = [r.doc_id for r in jaccard_join.keep_one(docs).collect()]
     assert sorted(kept) == sorted({c for _, n, c in expected if n} | {50, 51})
+
+
+@pytest.mark.parametrize("width", [25, 40, 62, 64])
+def test_narrow_cut_matches_brute_force(spark, width):
+    """Equal windows behind different bytes, among many other windows of the same anchors."""
+    rng = random.Random(width)
+    base = "".join(rng.choice("abcdefgh") for _ in range(200))
+    texts = []
+    for i in range(120):
+        a = rng.randrange(100)
+        texts.append(f"{rng.random()}" + base[a : a + rng.randrange(20, 90)] + f"{rng.random()}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in suffix_dedup.digest(docs, width).collect())
+    assert got == [(i, *cut) for i, cut in enumerate(brute_cut(texts, width))]
