@@ -8,8 +8,9 @@ columns of ``documents``; each works on all that its predecessor kept:
 1. ``language_id`` drops documents without a letter or with less than half of their letters in one
    known language.
 2. ``jaccard_join`` keeps one document, that with the smallest id, of each group of near duplicates.
-3. ``suffix_dedup`` removes strings of 400 bytes that still occur more than once; a document that
-   becomes blank goes. Changed texts get a new ``n_chars``.
+3. ``suffix_dedup`` removes runs of 50 words, and strings of 400 bytes (of scripts without spaces,
+   too), that still occur more than once; a document that becomes blank goes. Changed texts get a new
+   ``n_chars``.
 4. ``decontaminate`` drops documents in which ten consecutive words of a benchmark item occur.
 5. ``mixing`` takes documents of each source up to its target and adds ``copies``.
 
@@ -25,6 +26,7 @@ from starmill.llm import decontaminate as winnowing, jaccard_join as jaccard, la
 from starmill.llm import suffix_dedup as suffixes
 from starmill.llm.tables import stage, staged
 
+REPEATED_WORDS = 50
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with stage(spark):
@@ -38,7 +40,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with stage(spark):
-        short = suffixes.drop_repeats(docs)
+        short = suffixes.drop_repeats(docs, words=REPEATED_WORDS)
         return short.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

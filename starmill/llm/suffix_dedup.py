@@ -16,6 +16,9 @@ Three things keep the sort far smaller than the text:
 Rows moved follow the number of anchors (about one in a hundred bytes), never the number of pairs:
 digits are counted with map-side combine, and the only joins are on digits with unique right sides.
 Spans are compared by two independent 64-bit hashes.
+
+Repeated runs of words are found by the same sort: every word is written as the ``UNIT`` bytes of its
+hash, and a run of n words is a string of ``n * UNIT`` of them.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from starmill.llm import kernel as K
 from starmill.llm.tables import ROW, TEXT, bucketed, numbered, restored, staged
 
 BLOCKS = (64, 8, 1)
+UNIT = 8  # bytes of the hash that stands for a word
 NODE = "row_id long, at long, core long, span_a long, span_b long"
 NODE_TYPES = {"row_id": pa.int64(), "at": pa.int64(), "core": pa.int64(), "span_a": pa.int64(), "span_b": pa.int64()}
 
@@ -49,14 +53,25 @@ def _spans(hashes: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, lo: n
     return [K.signed(K.mix(K.span_hash(h, lane, starts, ends) ^ salt)) for lane, h in enumerate(hashes)]
 
 
-def _anchors(width: int):
+def _as_bytes(piece: K.Texts) -> K.Texts:
+    return piece
+
+
+def _as_words(piece: K.Texts) -> K.Texts:
+    """The texts with every word (by ``K.SOLID``, as it is written) as its hash and nothing between."""
+    found = K.words(piece, K.SOLID)
+    hashes = K.span_hash(piece.prefix(0), 0, found.starts, found.ends)
+    return K.Texts(piece.first, hashes.view(np.uint8), found.bounds * UNIT)
+
+
+def _anchors(width: int, view):
     """Runs of windows by anchor, with the anchor's own bytes as core."""
     size = width * 4 // 25 or 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).to_numpy()
-            for piece in K.texts(batch.column(1)):
+            for piece in map(view, K.texts(batch.column(1))):
                 if len(piece.data) < width:
                     continue
                 lengths = np.diff(piece.offsets)
@@ -87,13 +102,13 @@ def _anchors(width: int):
     return run
 
 
-def _split(width: int, block: int):
+def _split(width: int, block: int, view):
     """Open runs of each text, cut into aligned blocks of offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ats = batch.column(0).to_numpy(), batch.column(2)
-            for piece in K.texts(batch.column(1)):
+            for piece in map(view, K.texts(batch.column(1))):
                 own = ats.slice(piece.first, len(piece))
                 counts = np.asarray(own.value_lengths())
                 pos, lo, hi = _unpack(np.asarray(own.flatten()))
@@ -136,31 +151,46 @@ def _by_text(ats: DataFrame) -> DataFrame:
     return ats.groupBy(ROW).agg(F.collect_list("at").alias("ats"))
 
 
-def repeated(texts: DataFrame, width: int) -> DataFrame:
-    """Runs of repeated windows, ``(row_id, at)``, of a table bucketed by ``row_id``."""
-    nodes = texts.select(ROW, TEXT).mapInArrow(_anchors(width), NODE)
+def repeated(texts: DataFrame, width: int, view=_as_bytes) -> DataFrame:
+    """Runs of repeated windows, ``(row_id, at)``, of a table bucketed by ``row_id``; both in the
+    bytes that ``view`` makes of the texts."""
+    nodes = texts.select(ROW, TEXT).mapInArrow(_anchors(width, view), NODE)
     judged = staged(_judge(staged(nodes, "runs")), "judged")
     found = judged.filter("settled").select(ROW, "at")
     for block in (b for b in BLOCKS if b < width):  # every window of a block must contain its core
         open_runs = _by_text(judged.filter("open"))
         with_text = texts.select(ROW, TEXT).join(open_runs.hint("shuffle_hash"), ROW)
-        nodes = with_text.select(ROW, TEXT, "ats").mapInArrow(_split(width, block), NODE)
+        nodes = with_text.select(ROW, TEXT, "ats").mapInArrow(_split(width, block, view), NODE)
         judged = staged(_judge(staged(nodes, "runs")), "judged")
         found = found.union(judged.filter("settled").select(ROW, "at"))
     return found
 
 
-def _covered(width: int, pos: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Disjoint, ordered (start, end) of all bytes that the runs' windows cover."""
-    if not len(pos):
+def _covered(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Disjoint, ordered (start, end) of all bytes in the given stretches."""
+    if not len(starts):
         return np.zeros((0, 2), np.int64)
-    starts, ends = pos - hi, pos - lo + width
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], np.maximum.accumulate(ends[order])
     new = np.flatnonzero(np.r_[True, starts[1:] > ends[:-1]])
     return np.stack([starts[new], ends[np.r_[new[1:] - 1, len(ends) - 1]]], axis=1)
 
 
+def _of_bytes(width: int, runs: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of what the windows of each run cover."""
+    pos, lo, hi = _unpack(np.asarray(runs.values, np.int64))
+    return pos - hi, pos - lo + width
+
+
+def _of_words(words: int, runs: pa.ListScalar, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same in a text with words at these bytes, of runs among their hashes. Only windows that
+    begin with a word count."""
+    first, last = _of_bytes(0, runs)
+    first, last = -(-first // UNIT), last // UNIT
+    some = first <= last
+    return starts[first[some]], ends[last[some] + words - 1]
+
+
 OUT = pa.schema(
     [
         ("row_id", pa.int64()),
@@ -173,16 +203,23 @@ OUT = pa.schema(
 )
 
 
-def _cut(width: int, with_text: bool):
+def _cut(width: int, words: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ats = batch.column(0), batch.column(2)
+            rows, ats, word_ats = batch.column(0), batch.column(2), batch.column(3)
             for piece in K.texts(batch.column(1)):
                 raw, bounds = piece.data.tobytes(), piece.offsets.tolist()
+                found = K.words(piece, K.SOLID) if words else None
                 columns = {name: [] for name in OUT.names[1:]}
                 for i in range(len(piece)):
-                    text, runs = raw[bounds[i] : bounds[i + 1]], ats[piece.first + i]
-                    spans = _covered(width, *_unpack(np.asarray(runs.values))) if runs.is_valid else np.zeros((0, 2), int)
+                    text, runs, word_runs = raw[bounds[i] : bounds[i + 1]], ats[piece.first + i], word_ats[piece.first + i]
+                    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                    if runs.is_valid:
+                        parts.append(_of_bytes(width, runs))
+                    if words and word_runs.is_valid:
+                        own = slice(found.bounds[i], found.bounds[i + 1])
+                        parts.append(_of_words(words, word_runs, found.starts[own] - bounds[i], found.ends[own] - bounds[i]))
+                    spans = _covered(*(np.concatenate(side) for side in zip(*parts, strict=True)))
                     edges = [0, *spans.ravel().tolist(), len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                     columns["n_bytes"].append(len(text))
@@ -197,7 +234,7 @@ def _cut(width: int, with_text: bool):
     return run
 
 
-def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text: bool = True) -> tuple[DataFrame, DataFrame]:
+def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text: bool = True, words: int = 0) -> tuple[DataFrame, DataFrame]:
     """Every text without the bytes of repeated ``width``-byte strings.
 
     A byte goes if some string of ``width`` bytes that covers it starts at two or more places of
@@ -205,22 +242,31 @@ def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text
     strings are judged on the input. Null is an empty text. Repeated rows are separate texts, so
     all their windows repeat. Texts below ``width`` bytes are never changed.
 
+    With ``words``, so do the bytes of every run of so many words (what is between white space, byte
+    for byte) that starts at two or more places, however short it is and whatever white space is
+    between its words; it goes from the first byte of its first word to the last of its last.
+
     Returns the numbered input (see ``tables.numbered``) and one row per text: ``row_id, n_bytes,
     n_removed, spans`` (start, end, start, end, ... of removed stretches), ``kept_sha256`` (of the
     remaining bytes) and ``kept`` (the remaining text, null unless ``with_text``).
     """
     if not 25 <= width < 1 << 16:
         raise ValueError("width must be between 25 and 65535 bytes")
-    table = bucketed(numbered(docs, text), ROW, "texts")
-    found = _by_text(repeated(table, width)).hint("shuffle_hash")
-    joined = table.select(ROW, TEXT).join(found, ROW, "left").select(ROW, TEXT, "ats")
+    if not 0 <= words * UNIT < 1 << 16:
+        raise ValueError("words must be between 0 and 8191")
+    table, none = bucketed(numbered(docs, text), ROW, "texts"), F.lit(None).cast("long")
+    found = repeated(table, width).select(ROW, "at", none.alias("word_at"))
+    if words:
+        found = found.union(repeated(table, words * UNIT, _as_words).select(ROW, none, "at"))
+    found = found.groupBy(ROW).agg(F.collect_list("at").alias("ats"), F.collect_list("word_at").alias("word_ats")).hint("shuffle_hash")
+    joined = table.select(ROW, TEXT).join(found, ROW, "left").select(ROW, TEXT, "ats", "word_ats")
     schema = "row_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string, kept string"
-    return table, joined.mapInArrow(_cut(width, with_text), schema)
+    return table, joined.mapInArrow(_cut(width, words, with_text), schema)
 
 
-def drop_repeats(docs: DataFrame, text: str = "text", width: int = 400) -> DataFrame:
+def drop_repeats(docs: DataFrame, text: str = "text", width: int = 400, words: int = 0) -> DataFrame:
     """``docs`` with shortened texts; a text that the removal leaves blank goes."""
-    table, cut = cut_repeats(docs, text, width)
+    table, cut = cut_repeats(docs, text, width, words=words)
     cut = cut.filter("n_removed = 0 OR trim(BOTH ' \t\r\n' FROM kept) <> ''")
     kept = F.when(F.col("n_removed") == 0, F.col(TEXT)).otherwise(F.col("kept"))
     changed = cut.select(ROW, "n_removed", F.when(F.col("n_removed") > 0, F.col("kept")).alias("kept"))

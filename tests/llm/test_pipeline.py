@@ -1,6 +1,8 @@
 """The pipeline, stage by stage and as a whole, against brute force; SQL of the operators that have it."""
 
 import os
+import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -136,3 +138,40 @@ def test_against_sql(spark, sf_dir, name):
     got = QUERIES[name](spark, sf_dir)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, expected.fetchall()))
+
+
+def brute_without_runs(texts, words):
+    """Texts without runs of so many words that start at two or more places."""
+    found = [[(m.start(), m.end()) for m in re.finditer(r"\S+", t, re.ASCII)] for t in texts]
+    runs = [[tuple(t[a:b] for a, b in f[i : i + words]) for i in range(len(f) - words + 1)] for t, f in zip(texts, found, strict=True)]
+    seen = Counter(r for own in runs for r in own)
+    out = []
+    for t, f, own in zip(texts, found, runs, strict=True):
+        gone = set()
+        for i, r in enumerate(own):
+            if seen[r] > 1:
+                gone |= set(range(f[i][0], f[i + words - 1][1]))
+        out.append("".join(c for i, c in enumerate(t) if i not in gone))
+    return out
+
+
+def test_passages_of_more_than_50_words_go_however_short(spark):
+    passage, small, below = prose(900, 51), " ".join("abcdefghij"[i % 7] + "xyz"[i % 3] for i in range(51)), prose(901, 49)
+    assert len(passage) < 400 and len(small) < 160
+    texts = [prose(i, 150) for i in range(12)]
+    texts[0] += " " + passage + " " + prose(50, 100)
+    texts[1] = passage.replace(" ", "\n") + "  " + texts[1]
+    texts[2] += " " + small + " ñandú " + prose(51, 20)
+    texts[3] += " " + small
+    texts[4] += " " + below + " " + prose(52, 30)
+    texts[5] = below + " " + texts[5]
+    texts[6] += " größe " + passage + " " + prose(53, 20) + " " + passage
+    texts[7] = small
+    texts[8] = "ha " * 60 + texts[8]
+    texts[9] = "ha " * 48 + texts[9]
+    expected = brute_without_runs(texts, 50)
+    assert [len(e) < len(t) for t, e in zip(texts, expected, strict=True)] == [i in (0, 1, 2, 3, 6, 7, 8) for i in range(12)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], COLUMNS).repartition(4)
+    got = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, "").collect()}
+    assert {i: r.text for i, r in got.items()} == {i: e for i, e in enumerate(expected) if e.strip()}
+    assert 7 not in got and all(r.n_chars == len(r.text) for r in got.values())
