@@ -1,11 +1,12 @@
 """Nearest neighbours by largest inner product with a permutation index.
 
-Vectors are lifted to one length (an extra coordinate fills each up to the longest), so that the
-largest inner product with a query is the smallest distance. Each vector is represented by its
-``PREFIX`` nearest pivots in order. The index deals the vectors into shards of bounded size and
-stores, beside every vector, its ordered pivots. A search task holds one shard: it posts the
-shard's vectors in one inverted file per pivot, adds up over a query's own pivots what the files
-say of the footrule distance, reranks the closest ``SHARE`` of the shard by the exact inner product
+Vectors are put into bands of about equal length (``BANDS`` for each doubling, however long the
+longest is). Within a band the largest inner product with a query is nearly the smallest angle, so
+pivots are directions, and each vector is represented by the ``PREFIX`` pivots of the smallest angle
+in order, queries and others alike. The index deals the vectors into shards of bounded size and
+stores, beside every vector, its band and its ordered pivots. A search task holds one shard: it posts
+the shard's vectors in one inverted file per pivot, adds up over a query's own pivots what the files
+say of the footrule distance, reranks the closest ``SHARE`` of each band by the exact inner product
 in double precision, and keeps the best. Best ones of all shards are merged.
 
 With ranks counted from 0 and a missing pivot ranked ``PREFIX``, the footrule distance of two
@@ -31,7 +32,9 @@ from starmill.llm.tables import ROW, staged
 PIVOTS = 2048  # pivots: so many vectors at most, those with the smallest hash
 PREFIX = 64
 SHARE = 0.12
-LEAST = 1000  # candidates of a shard that are reranked at least
+LEAST = 1000  # candidates of a shard that are reranked at least, by the sizes of its bands
+BANDS = 3  # bands of length for each doubling
+TIMES = 4  # a band reranks at least so many times what is asked for: all answers can lie in the longest
 SHARD = 50_000
 QUERY_BLOCK = 5_000
 
@@ -50,9 +53,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
-def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(longest**2 - (x**2).sum(axis=1), 0))
-    return np.hstack([x, rest[:, None]])
+def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length 1, and the band of each vector's length; lengths of 1 lie inside a band."""
+    largest = np.abs(x).max(axis=1, keepdims=True)  # squares of very long or short ones have no double
+    x = x / largest
+    length = np.sqrt((x**2).sum(axis=1, keepdims=True))
+    doublings = np.log2(largest[:, 0]) + np.log2(length[:, 0])
+    return x / length, np.floor(BANDS * doublings + 0.5).astype(np.int32)
 
 
 def _prefix(near: np.ndarray) -> np.ndarray:
@@ -65,31 +72,28 @@ def _prefix(near: np.ndarray) -> np.ndarray:
 
 def _indexed(pivots):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, longest = pivots.value
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 for dimension in sorted(set(part.column(2).to_pylist())):
                     rows = part.filter(pc.equal(part.column(2), dimension))
                     x = _matrix(rows.column(1))
-                    order = _prefix((_lifted(x, longest[dimension]) @ own[dimension].T).astype(np.float32))
+                    directions, band = _directions(x)
+                    order = _prefix(directions @ pivots.value[dimension].T)
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(2), rows.column(1), pa.array([o.tobytes() for o in order], pa.binary())],
-                        names=[ROW, "dimension", "vector", "pivots"],
+                        [rows.column(0), rows.column(2), rows.column(1), pa.array(band), pa.array([o.tobytes() for o in order], pa.binary())],
+                        names=[ROW, "dimension", "vector", "band", "pivots"],
                     )
 
     return run
 
 
-def pivots_of(classes: DataFrame) -> tuple[dict[int, np.ndarray], dict[int, float]]:
-    """Lifted pivots, and the longest length, by dimension. At most ``PIVOTS`` of each are sampled."""
+def pivots_of(classes: DataFrame) -> dict[int, np.ndarray]:
+    """Directions of the pivots by dimension. At most ``PIVOTS`` of each are sampled."""
     hashed = classes.select("dimension", "vector", F.xxhash64("vector").alias("hash"))
     rank = F.row_number().over(Window.partitionBy("dimension").orderBy("hash"))
     sample = hashed.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS).orderBy("dimension", "rank").toPandas()
-    lengths = classes.groupBy("dimension").agg(F.max(F.expr("sqrt(aggregate(vector, 0d, (a, x) -> a + x * x))")).alias("longest")).collect()
-    longest = {row["dimension"]: row["longest"] for row in lengths}
-    chosen = {d: _lifted(np.array(part["vector"].tolist(), np.float64), longest[d]) for d, part in sample.groupby("dimension")}
-    return chosen, longest
+    return {d: _directions(np.array(part["vector"].tolist(), np.float64))[0] for d, part in sample.groupby("dimension")}
 
 
 FOUND = "query_class long, class_id long, score double"
@@ -103,15 +107,21 @@ def _search(k: int):
         n = len(left)
         if not n or not len(right):
             return pa.table({"query_class": pa.array([], pa.int64()), "class_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        x, ids = _matrix(shard["vector"]), shard[ROW].to_numpy()
-        ranks = np.frombuffer(b"".join(shard["pivots"].to_pylist()), np.int16).reshape(n, -1)
+        band = shard["band"].to_numpy()
+        by_band = np.argsort(band, kind="stable")
+        x, ids = _matrix(shard["vector"])[by_band], shard[ROW].to_numpy()[by_band]
+        ranks = np.frombuffer(b"".join(shard["pivots"].to_pylist()), np.int16).reshape(n, -1)[by_band]
         length = ranks.shape[1]
         # inverted files: for each pivot the vectors that have it, with l - rank
         pivot = ranks.ravel().astype(np.int64)
         order = np.argsort(pivot, kind="stable")
         owner, weight = (order // length).astype(np.int32), (length - order % length).astype(np.int16)
         file = np.searchsorted(pivot[order], np.arange(pivot.max() + 2))
-        wanted = min(n, max(LEAST, k + 1, int(np.ceil(SHARE * n))))
+        edges = np.r_[0, np.flatnonzero(np.diff(band[by_band])) + 1, n]
+        sizes = np.diff(edges)
+        wanted = np.maximum(TIMES * (k + 1), np.ceil(max(SHARE, LEAST / n) * sizes).astype(np.int64))
+        whole = np.flatnonzero(np.repeat(sizes <= wanted, sizes))
+        partly = [(edges[b], edges[b + 1], wanted[b]) for b in np.flatnonzero(sizes > wanted).tolist()]
         queries, numbers = _matrix(right.column("q_vector")), right.column(f"q_{ROW}").to_numpy()
         asked = np.frombuffer(b"".join(right.column("q_pivots").to_pylist()), np.int16).reshape(len(right), -1)
         out = []
@@ -121,7 +131,7 @@ def _search(k: int):
                 if p + 1 < len(file):
                     own = slice(file[p], file[p + 1])
                     near[owner[own]] += np.minimum(weight[own], length - r)
-            chosen = np.argpartition(-near, wanted - 1)[:wanted] if wanted < n else np.arange(n)
+            chosen = np.concatenate([whole, *(a + np.argpartition(-near[a:b], w - 1)[:w] for a, b, w in partly)])
             score = x[chosen] @ queries[i]
             if len(chosen) > k + 1:  # one place is for the query's own class
                 top = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
@@ -155,7 +165,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
 
     spark = vectors.sparkSession
     pivots = spark.sparkContext.broadcast(pivots_of(classes))
-    index = classes.select(ROW, "vector", "dimension").mapInArrow(_indexed(pivots), f"{ROW} long, dimension int, vector array<double>, pivots binary")
+    index = classes.select(ROW, "vector", "dimension").mapInArrow(_indexed(pivots), f"{ROW} long, dimension int, vector array<double>, band int, pivots binary")
     index = staged(index, "index")
     counts = index.groupBy("dimension").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     sharded = index.join(counts, "dimension").withColumn("shard", F.pmod(F.xxhash64(ROW), F.col("shards")).cast("int"))

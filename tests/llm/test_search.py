@@ -73,6 +73,27 @@ def test_recall_of_the_index(spark, monkeypatch):
     assert hits / (20 * len(got)) >= 0.9
 
 
+@pytest.mark.parametrize("case", ["0.2", "0.5", "1.0", "one long"])
+def test_recall_on_unequal_lengths(spark, monkeypatch, case):
+    """Neighbours by inner product are long vectors; one far longer than all does not hide the others."""
+    monkeypatch.setattr(nearest, "LEAST", 1)
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if case == "one long":
+        x[17] *= 10_000
+    else:
+        x *= rng.lognormal(0, float(case), 6000)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = found(nearest.search(frame, every=60))
+    hits = 0
+    for q in got:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len({i for i, _ in got[q]} & set(np.argsort(-scores)[:20].tolist()))
+    assert len(got) == 100 and hits / (20 * len(got)) >= 0.9
+
+
 def brute_pages(rows):
     kept = {}
     for i, _, html in rows:
