@@ -15,7 +15,8 @@ only add up the minima.
 
 Equal vectors are one class in the index. For a search only a class's smallest ids can matter (as
 many as are asked for, and one for the query itself), so a vector that a third of all rows share
-costs one entry, and its queries are searched once.
+costs one entry, and its queries are searched once. Ties between classes are broken by their smallest
+ids, so that a shard's best classes hold its best ids.
 """
 
 from __future__ import annotations
@@ -81,8 +82,8 @@ def _indexed(pivots):
                     directions, band = _directions(x)
                     order = _prefix(directions @ pivots.value[dimension].T)
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(2), rows.column(1), pa.array(band), pa.array([o.tobytes() for o in order], pa.binary())],
-                        names=[ROW, "dimension", "vector", "band", "pivots"],
+                        [*rows.columns, pa.array(band), pa.array([o.tobytes() for o in order], pa.binary())],
+                        names=[*rows.schema.names, "band", "pivots"],
                     )
 
     return run
@@ -110,6 +111,7 @@ def _search(k: int):
         band = shard["band"].to_numpy()
         by_band = np.argsort(band, kind="stable")
         x, ids = _matrix(shard["vector"])[by_band], shard[ROW].to_numpy()[by_band]
+        first = shard["first_id"].to_numpy()[by_band]
         ranks = np.frombuffer(b"".join(shard["pivots"].to_pylist()), np.int16).reshape(n, -1)[by_band]
         length = ranks.shape[1]
         # inverted files: for each pivot the vectors that have it, with l - rank
@@ -137,7 +139,7 @@ def _search(k: int):
                 top = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
                 keep = score >= top
                 chosen, score = chosen[keep], score[keep]
-            best = np.lexsort((ids[chosen], -score))[: k + 1]
+            best = np.lexsort((first[chosen], -score))[: k + 1]
             out.append((np.full(len(best), numbers[i]), ids[chosen[best]], score[best]))
         a, b, c = (np.concatenate(column) for column in zip(*out, strict=True))
         return pa.table({"query_class": a, "class_id": b, "score": c})
@@ -157,7 +159,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     smallest = rows.select("vector", "dimension", "vec_id").withColumn("rank", rank).filter(F.col("rank") <= k + 1)
     smallest = staged(smallest, "smallest")
-    first = smallest.filter("rank = 1").select(F.monotonically_increasing_id().alias(ROW), "vector", "dimension")
+    first = smallest.filter("rank = 1").select(F.monotonically_increasing_id().alias(ROW), "vector", "dimension", F.col("vec_id").alias("first_id"))
     classes = staged(first, "classes")
     named = classes.select(F.col("vector"), F.col(ROW).alias("class_id"))
     members = staged(smallest.join(named, "vector").select("class_id", "vec_id"), "members")
@@ -165,7 +167,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
 
     spark = vectors.sparkSession
     pivots = spark.sparkContext.broadcast(pivots_of(classes))
-    index = classes.select(ROW, "vector", "dimension").mapInArrow(_indexed(pivots), f"{ROW} long, dimension int, vector array<double>, band int, pivots binary")
+    index = classes.mapInArrow(_indexed(pivots), f"{ROW} long, vector array<double>, dimension int, first_id long, band int, pivots binary")
     index = staged(index, "index")
     counts = index.groupBy("dimension").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     sharded = index.join(counts, "dimension").withColumn("shard", F.pmod(F.xxhash64(ROW), F.col("shards")).cast("int"))

@@ -94,6 +94,18 @@ def test_recall_on_unequal_lengths(spark, monkeypatch, case):
     assert len(got) == 100 and hits / (20 * len(got)) >= 0.9
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_id(spark, monkeypatch):
+    """Of 256 different vectors all have the same inner product with the queries."""
+    order = np.random.default_rng(2).permutation(256).tolist()
+    rows = [(1 + i, [1.0, *(float(v >> b & 1) for b in range(8))]) for i, v in enumerate(order)]
+    rows += [(1000 + 1000 * j, [1.0 + j, *[0.0] * 8]) for j in range(3)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    expected = brute_search(rows, 20, 1000)
+    same(found(nearest.search(frame, every=1000)), expected)
+    monkeypatch.setattr(nearest, "SHARD", 70)
+    same(found(nearest.search(frame, every=1000)), expected)
+
+
 def brute_pages(rows):
     kept = {}
     for i, _, html in rows:
