@@ -16,7 +16,8 @@ only add up the minima.
 Equal vectors are one class in the index. For a search only a class's smallest ids can matter (as
 many as are asked for, and one for the query itself), so a vector that a third of all rows share
 costs one entry, and its queries are searched once. Ties between classes are broken by their smallest
-ids, so that a shard's best classes hold its best ids.
+ids, so that a shard's best classes hold its best ids. An id with several vectors is searched on its
+own for each of them, without the classes that hold no other id; else those could fill its list.
 """
 
 from __future__ import annotations
@@ -97,7 +98,9 @@ def pivots_of(classes: DataFrame) -> dict[int, np.ndarray]:
     return {d: _directions(np.array(part["vector"].tolist(), np.float64))[0] for d, part in sample.groupby("dimension")}
 
 
-FOUND = "query_class long, class_id long, score double"
+FOUND = "query_class long, several boolean, own long, class_id long, score double"
+FOUND_TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
+FOUND_NAMES = ["query_class", "several", "own", "class_id", "score"]
 
 
 def _search(k: int):
@@ -107,11 +110,11 @@ def _search(k: int):
         shard = {c: left.column(c) for c in left.column_names}
         n = len(left)
         if not n or not len(right):
-            return pa.table({"query_class": pa.array([], pa.int64()), "class_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table([pa.array([], t) for t in FOUND_TYPES], names=FOUND_NAMES)
         band = shard["band"].to_numpy()
         by_band = np.argsort(band, kind="stable")
         x, ids = _matrix(shard["vector"])[by_band], shard[ROW].to_numpy()[by_band]
-        first = shard["first_id"].to_numpy()[by_band]
+        first, second = (shard[c].to_numpy()[by_band] for c in ("first_id", "second_id"))
         ranks = np.frombuffer(b"".join(shard["pivots"].to_pylist()), np.int16).reshape(n, -1)[by_band]
         length = ranks.shape[1]
         # inverted files: for each pivot the vectors that have it, with l - rank
@@ -125,6 +128,7 @@ def _search(k: int):
         whole = np.flatnonzero(np.repeat(sizes <= wanted, sizes))
         partly = [(edges[b], edges[b + 1], wanted[b]) for b in np.flatnonzero(sizes > wanted).tolist()]
         queries, numbers = _matrix(right.column("q_vector")), right.column(f"q_{ROW}").to_numpy()
+        several, owns = right.column("q_several").to_pylist(), right.column("q_own").to_pylist()
         asked = np.frombuffer(b"".join(right.column("q_pivots").to_pylist()), np.int16).reshape(len(right), -1)
         out = []
         for i in range(len(right)):
@@ -133,16 +137,23 @@ def _search(k: int):
                 if p + 1 < len(file):
                     own = slice(file[p], file[p + 1])
                     near[owner[own]] += np.minimum(weight[own], length - r)
+            name = first
+            if several[i]:
+                name = np.where(first == owns[i], second, first)
+                mine = name == owns[i]  # classes of this id alone
+                near[mine] = -1
             chosen = np.concatenate([whole, *(a + np.argpartition(-near[a:b], w - 1)[:w] for a, b, w in partly)])
+            if several[i]:
+                chosen = chosen[~mine[chosen]]
             score = x[chosen] @ queries[i]
             if len(chosen) > k + 1:  # one place is for the query's own class
                 top = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
                 keep = score >= top
                 chosen, score = chosen[keep], score[keep]
-            best = np.lexsort((first[chosen], -score))[: k + 1]
-            out.append((np.full(len(best), numbers[i]), ids[chosen[best]], score[best]))
-        a, b, c = (np.concatenate(column) for column in zip(*out, strict=True))
-        return pa.table({"query_class": a, "class_id": b, "score": c})
+            best = np.lexsort((name[chosen], -score))[: k + 1]
+            out.append((*(np.full(len(best), v) for v in (numbers[i], several[i], owns[i])), ids[chosen[best]], score[best]))
+        columns = [np.concatenate(column) for column in zip(*out, strict=True)]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, FOUND_TYPES, strict=True)], names=FOUND_NAMES)
 
     return run
 
@@ -154,24 +165,36 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
     vector is null, or whose vector is zero, empty, or holds a null or non-finite component, take no
     part. A row is no candidate of queries with its own id. Vectors of different lengths are never
     compared. Returns ``query_id, rank, vec_id, score``.
+
+    Rows that repeat both id and vector count once. An id with several vectors is one query, with one
+    list: rows are ranked by their best score with any of its vectors. As a neighbour it is a row for
+    each vector, so its id can be listed that often.
     """
-    rows = staged(valid(vectors, vec_id, embedding), "vectors")
+    rows = staged(valid(vectors, vec_id, embedding).distinct(), "vectors")
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     smallest = rows.select("vector", "dimension", "vec_id").withColumn("rank", rank).filter(F.col("rank") <= k + 1)
     smallest = staged(smallest, "smallest")
     first = smallest.filter("rank = 1").select(F.monotonically_increasing_id().alias(ROW), "vector", "dimension", F.col("vec_id").alias("first_id"))
     classes = staged(first, "classes")
     named = classes.select(F.col("vector"), F.col(ROW).alias("class_id"))
-    members = staged(smallest.join(named, "vector").select("class_id", "vec_id"), "members")
-    asked = staged(rows.filter(F.col("vec_id") % every == 0).select("vec_id", "vector").join(named, "vector").select("vec_id", "class_id"), "asked")
+    members = staged(smallest.join(named, "vector").select("class_id", "vec_id", "rank"), "members")
+    asked = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "vector").join(named, "vector").select("vec_id", "class_id")
+    asked = staged(asked, "asked")
+    repeated = asked.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n > 1").select("vec_id", F.lit(True).alias("several"))
+    asked = asked.join(repeated, "vec_id", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    unit = ["class_id", "several", "own"]
+    asked = staged(asked.withColumn("own", F.when(F.col("several"), F.col("vec_id")).otherwise(F.lit(0))), "units")
 
     spark = vectors.sparkSession
     pivots = spark.sparkContext.broadcast(pivots_of(classes))
-    index = classes.mapInArrow(_indexed(pivots), f"{ROW} long, vector array<double>, dimension int, first_id long, band int, pivots binary")
+    second = members.filter("rank = 2").select(F.col("class_id").alias(ROW), F.col("vec_id").alias("second_id"))
+    both = classes.join(second, ROW, "left").withColumn("second_id", F.coalesce("second_id", "first_id"))
+    both = both.select(ROW, "vector", "dimension", "first_id", "second_id")
+    index = both.mapInArrow(_indexed(pivots), f"{ROW} long, vector array<double>, dimension int, first_id long, second_id long, band int, pivots binary")
     index = staged(index, "index")
     counts = index.groupBy("dimension").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     sharded = index.join(counts, "dimension").withColumn("shard", F.pmod(F.xxhash64(ROW), F.col("shards")).cast("int"))
-    queries = index.join(asked.select(F.col("class_id").alias(ROW)).distinct(), ROW)
+    queries = index.join(asked.select(F.col("class_id").alias(ROW), "several", "own").distinct(), ROW)
     blocks = queries.groupBy("dimension").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
     spread = queries.join(blocks, "dimension").join(counts, "dimension")
     spread = spread.withColumn("block", F.pmod(F.xxhash64(F.lit(1), ROW), F.col("blocks")).cast("int"))
@@ -184,9 +207,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
     found = staged(found, "found")
 
     # a query needs k ids beside its own, so the best k + 1 of its class's candidates are enough
-    best = Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id")
-    listed = found.join(members, "class_id").withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
-    listed = listed.select(F.col("query_class").alias("class_id"), "vec_id", "score")
-    pairs = asked.select(F.col("vec_id").alias("query_id"), "class_id").join(listed, "class_id").filter("query_id <> vec_id")
+    best = Window.partitionBy("query_class", "several", "own").orderBy(F.desc("score"), "vec_id")
+    listed = found.join(members.drop("rank"), "class_id").filter("NOT several OR vec_id <> own")
+    listed = listed.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+    listed = listed.select(F.col("query_class").alias("class_id"), "several", "own", "vec_id", F.col("class_id").alias("met"), "score")
+    pairs = asked.withColumnRenamed("vec_id", "query_id").join(listed, unit).filter("query_id <> vec_id")
+    pairs = pairs.groupBy("query_id", "vec_id", "met").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -106,6 +106,23 @@ def test_ties_of_different_vectors_go_to_the_smaller_id(spark, monkeypatch):
     same(found(nearest.search(frame, every=1000)), expected)
 
 
+def test_repeated_rows_and_ids(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 1, 6).tolist()) for i in range(1, 90)]
+    rows += [r for r in rows if r[0] % 20 == 0 or r[0] % 7 == 0] * 24  # as queries and as neighbours
+    rows += [(100, [2.0] * 6)] * 30 + [(101 + i, [2.0] * 6) for i in range(8)]  # its own id first, often
+    rows += [(200, [9.0 + i, *rng.normal(0, 1, 5).tolist()]) for i in range(40)]  # one id, many long vectors
+    rows += [(201, [9.0, 1.0, 1.0, 1.0, 1.0, i / 8]) for i in range(3)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    expected = {}
+    for q in sorted({i for i, _ in distinct if i % 20 == 0}):
+        own = np.array([v for i, v in distinct if i == q])
+        scores = sorted((-float((own @ np.array(v)).max()), i) for i, v in distinct if i != q)
+        expected[q] = [(i, -s) for s, i in scores[:20]]
+    same(found(nearest.search(frame)), expected)
+
+
 def brute_pages(rows):
     kept = {}
     for i, _, html in rows:
