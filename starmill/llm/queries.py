@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from starmill.llm import decontaminate, jaccard_join, language_id, licenses, mixing, nearest, quality, suffix_dedup, token_counts, warc
+from starmill.llm import decontaminate, jaccard_join, language_id, licenses, merkle, mixing, nearest, quality, suffix_dedup, token_counts, warc
 from starmill.llm.oracles import ORACLES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -64,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.histogram(_table(spark, sf_dir, "documents")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     _reachable(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_merkle": op11_merkle,
     "pipeline": pipeline,
 }
 

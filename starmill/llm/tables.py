@@ -79,3 +79,20 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd")
     writer.option("path", _new_path(spark, name)).format("parquet").saveAsTable(table)
     return spark.table(table)
+
+
+def spread_join(many: DataFrame, once: DataFrame, key: list[str]) -> DataFrame:
+    """Left join of a staged table with one that holds every key once, however frequent a key is.
+
+    Keys with more than a ``1 / (4 * partitions)`` of the rows are joined from a broadcast table,
+    which therefore holds at most ``4 * partitions`` rows; all others meet in an exchange.
+    """
+    spark = many.sparkSession
+    most = many.count() // (4 * partitions(spark)) + 1
+    counts = many.groupBy(*key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > most)
+    frequent = staged(counts.drop("_rows").join(once, key, "left").withColumn("_frequent", F.lit(True)), "frequent")
+    if frequent.isEmpty():
+        return many.join(once, key, "left")
+    met = many.join(F.broadcast(frequent), key, "left")
+    rest = met.filter("_frequent IS NULL").select(*many.columns).join(once, key, "left")
+    return met.filter("_frequent").drop("_frequent").unionByName(rest)
