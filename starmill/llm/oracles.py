@@ -156,9 +156,52 @@ FROM high, placed JOIN subroots s USING (tree) JOIN ends USING (tree, i) LEFT JO
 WHERE high.n = 1
 """
 
+TRIE = f"""
+WITH {CRC_TABLE}, named AS (
+    SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, chars, name, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) - 1 AS i FROM named
+), sizes AS (
+    SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc("conv_id::VARCHAR")} % 6 AS h FROM sizes, crc
+), turns AS (
+    SELECT c.conv_id, i AS pos, name, chars FROM convs c JOIN own ON own.conv_id = base WHERE i < h
+    UNION ALL
+    SELECT c.conv_id, least(h, coalesce(n, 0)) + i - h, name, chars
+    FROM convs c LEFT JOIN sizes ON sizes.conv_id = base JOIN own ON own.conv_id = c.conv_id WHERE i >= h
+), paths AS (
+    SELECT conv_id, pos + 1 AS depth, chars, sha256(string_agg(name, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS node FROM turns
+), members AS (
+    SELECT conv_id, depth, chars, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS up FROM paths
+    UNION ALL
+    SELECT conv_id, 0, 0, '', NULL FROM convs
+), nodes AS (
+    SELECT node, any_value(up) AS up, any_value(depth) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs
+    FROM members GROUP BY node
+), children AS (
+    SELECT up AS node, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up
+), below AS (
+    SELECT DISTINCT v.node, w.node AS other FROM members v JOIN members w ON v.conv_id = w.conv_id AND w.depth >= v.depth
+), sums AS (
+    SELECT below.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+    FROM below JOIN nodes ON nodes.node = other LEFT JOIN children ON children.node = other GROUP BY below.node
+), ends AS (
+    SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM members JOIN (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id) USING (conv_id, depth) GROUP BY node
+)
+SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, above.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN sums USING (node) LEFT JOIN children USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN nodes above ON above.node = nodes.up
+"""
+
 ORACLES = {
     "op3_warc": WARC,
     "op4_jaccard_join": JACCARD,
     "op6_decontaminate": DECONTAMINATE,
     "op11_merkle": MERKLE,
+    "op13_prefix_trie": TRIE,
 }
