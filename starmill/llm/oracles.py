@@ -31,7 +31,9 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN kept USING (payload_bytes, payload_digest)
 """
 
-JACCARD = f"""
+
+def _jaccard(percent: int, result: str) -> str:
+    return f"""
 WITH RECURSIVE words AS (
     SELECT doc_id, {_words("text", SOLID)} AS w FROM documents
 ), shingles AS (
@@ -44,17 +46,21 @@ WITH RECURSIVE words AS (
     FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
     SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
-    WHERE 100 * n_both >= 75 * (a.n + b.n - n_both)
+    WHERE 100 * n_both >= {percent} * (a.n + b.n - n_both)
 ), reached AS (
     SELECT doc_id AS x, doc_id AS y FROM documents
     UNION
     SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x
 )
-SELECT documents.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+SELECT documents.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, {result}
 FROM documents LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
 """
 
+
+JACCARD = _jaccard(75, "component_id")
+FOREST = _jaccard(85, "component_id, documents.doc_id = component_id AS kept")
+
 DECONTAMINATE = f"""
 WITH doc_words AS (
     SELECT doc_id, {_words("text", ALNUM)} AS w FROM documents
@@ -203,5 +209,6 @@ ORACLES = {
     "op4_jaccard_join": JACCARD,
     "op6_decontaminate": DECONTAMINATE,
     "op11_merkle": MERKLE,
+    "op12_lsh_forest": FOREST,
     "op13_prefix_trie": TRIE,
 }

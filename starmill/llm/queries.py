@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from starmill.llm import decontaminate, jaccard_join, language_id, licenses, merkle, mixing, nearest, prefix_trie, quality, suffix_dedup, token_counts, warc
+from starmill.llm import decontaminate, jaccard_join, language_id, licenses, lsh_forest, merkle, mixing, nearest, prefix_trie, quality, suffix_dedup, token_counts, warc
 from starmill.llm.oracles import ORACLES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -68,6 +68,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(_table(spark, sf_dir, "documents"))
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.digest(_table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digest(_table(spark, sf_dir, "conversations"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op11_merkle": op11_merkle,
+    "op12_lsh_forest": op12_lsh_forest,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
