@@ -182,13 +182,13 @@ def _of_bytes(width: int, runs: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
     return pos - hi, pos - lo + width
 
 
-def _of_words(words: int, runs: pa.ListScalar, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same in a text with words at these bytes, of runs among their hashes. Only windows that
-    begin with a word count."""
+def _of_words(words: int, runs: pa.ListScalar) -> np.ndarray:
+    """The same in numbers of words, of runs among their hashes, disjoint and in order. Only windows
+    that begin with a word count."""
     first, last = _of_bytes(0, runs)
     first, last = -(-first // UNIT), last // UNIT
     some = first <= last
-    return starts[first[some]], ends[last[some] + words - 1]
+    return _covered(first[some], last[some] + words)
 
 
 OUT = pa.schema(
@@ -199,11 +199,13 @@ OUT = pa.schema(
         ("spans", pa.list_(pa.int64())),
         ("kept_sha256", pa.string()),
         ("kept", pa.string()),
+        ("n_repeated_words", pa.int64()),
+        ("n_word_spans", pa.int64()),
     ]
 )
 
 
-def _cut(width: int, words: int, with_text: bool):
+def _cut(width: int, words: int, with_text: bool, remove_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ats, word_ats = batch.column(0), batch.column(2), batch.column(3)
@@ -216,9 +218,14 @@ def _cut(width: int, words: int, with_text: bool):
                     parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
                     if runs.is_valid:
                         parts.append(_of_bytes(width, runs))
+                    repeats = np.zeros((0, 2), np.int64)
                     if words and word_runs.is_valid:
-                        own = slice(found.bounds[i], found.bounds[i + 1])
-                        parts.append(_of_words(words, word_runs, found.starts[own] - bounds[i], found.ends[own] - bounds[i]))
+                        repeats = _of_words(words, word_runs)
+                        if remove_words:
+                            at = found.bounds[i] + repeats
+                            parts.append((found.starts[at[:, 0]] - bounds[i], found.ends[at[:, 1] - 1] - bounds[i]))
+                    columns["n_repeated_words"].append(int((repeats[:, 1] - repeats[:, 0]).sum()))
+                    columns["n_word_spans"].append(len(repeats))
                     spans = _covered(*(np.concatenate(side) for side in zip(*parts, strict=True)))
                     edges = [0, *spans.ravel().tolist(), len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -234,7 +241,7 @@ def _cut(width: int, words: int, with_text: bool):
     return run
 
 
-def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text: bool = True, words: int = 0) -> tuple[DataFrame, DataFrame]:
+def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text: bool = True, words: int = 0, remove_words: bool = True) -> tuple[DataFrame, DataFrame]:
     """Every text without the bytes of repeated ``width``-byte strings.
 
     A byte goes if some string of ``width`` bytes that covers it starts at two or more places of
@@ -244,11 +251,13 @@ def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text
 
     With ``words``, so do the bytes of every run of so many words (what is between white space, byte
     for byte) that starts at two or more places, however short it is and whatever white space is
-    between its words; it goes from the first byte of its first word to the last of its last.
+    between its words; it goes from the first byte of its first word to the last of its last. Without
+    ``remove_words`` such runs are only counted.
 
     Returns the numbered input (see ``tables.numbered``) and one row per text: ``row_id, n_bytes,
     n_removed, spans`` (start, end, start, end, ... of removed stretches), ``kept_sha256`` (of the
-    remaining bytes) and ``kept`` (the remaining text, null unless ``with_text``).
+    remaining bytes), ``kept`` (the remaining text, null unless ``with_text``), ``n_repeated_words``
+    (words inside repeated runs of ``words`` words) and ``n_word_spans`` (their maximal stretches).
     """
     if not 25 <= width < 1 << 16:
         raise ValueError("width must be between 25 and 65535 bytes")
@@ -260,8 +269,8 @@ def cut_repeats(docs: DataFrame, text: str = "text", width: int = 400, with_text
         found = found.union(repeated(table, words * UNIT, _as_words).select(ROW, none, "at"))
     found = found.groupBy(ROW).agg(F.collect_list("at").alias("ats"), F.collect_list("word_at").alias("word_ats")).hint("shuffle_hash")
     joined = table.select(ROW, TEXT).join(found, ROW, "left").select(ROW, TEXT, "ats", "word_ats")
-    schema = "row_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string, kept string"
-    return table, joined.mapInArrow(_cut(width, words, with_text), schema)
+    schema = "row_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string, kept string, n_repeated_words long, n_word_spans long"
+    return table, joined.mapInArrow(_cut(width, words, with_text, remove_words), schema)
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", width: int = 400, words: int = 0) -> DataFrame:
@@ -273,10 +282,12 @@ def drop_repeats(docs: DataFrame, text: str = "text", width: int = 400, words: i
     return table.join(changed, ROW).select(*restored(table, docs.columns, text, kept))
 
 
-def digest(docs: DataFrame, width: int = 400) -> DataFrame:
-    """One row per document: sizes, number of removed stretches, and the hash of what remains."""
-    table, cut = cut_repeats(docs, "text", width, with_text=False)
+def digest(docs: DataFrame, width: int = 400, words: int = 50) -> DataFrame:
+    """One row per document: sizes, number of removed stretches, and the hash of what remains; then
+    words inside runs of ``words`` words that start at two or more places, and their stretches, which
+    are counted and not removed."""
+    table, cut = cut_repeats(docs, "text", width, with_text=False, words=words, remove_words=False)
     ids = table.select(ROW, F.col("rest.doc_id").alias("doc_id"))
     out = cut.join(ids, ROW)
     spans = (F.size("spans") / 2).cast("long")
-    return out.select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), "kept_sha256", "n_repeated_words", "n_word_spans")

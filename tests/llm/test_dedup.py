@@ -31,10 +31,42 @@ def key(row):
     return [str(v) for v in row]
 
 
+def brute_words(texts, n):
+    """Words in runs of n words that start at two or more places, and their maximal stretches."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    seen = Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for w in words:
+        hit = {j for i in range(len(w) - n + 1) if seen[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        out.append((len(hit), sum(j - 1 not in hit for j in hit)))
+    return out
+
+
+@pytest.mark.parametrize("n", [50, 20])
+def test_repeated_words_match_brute_force(awkward, n):
+    docs, rows = awkward
+    got = [(r.doc_id, r.n_repeated_words, r.n_word_spans) for r in suffix_dedup.digest(docs, words=n).collect()]
+    expected = [(i, *found) for (i, _), found in zip(rows, brute_words([t for _, t in rows], n))]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert any(count for _, count, _ in got)
+
+
+def test_short_passages_of_over_fifty_words_are_counted(spark):
+    """51 short words are less than 400 bytes: no byte goes, and the words are counted all the same."""
+    passage = " ".join(f"p{i}" for i in range(51))
+    texts = [prose(800 + i, 40) + " " + passage.replace(" ", "\n" if i else " ") + " " + prose(900 + i, 40) for i in range(3)] + [prose(1, 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_removed, r.n_repeated_words, r.n_word_spans) for r in suffix_dedup.digest(docs).collect())
+    assert got == [(0, 0, 51, 1), (1, 0, 51, 1), (2, 0, 51, 1), (3, 0, 0, 0)]
+
+
+CONTRACT = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
 @pytest.mark.parametrize("width", [400, 60])
 def test_cut_matches_brute_force(awkward, width):
     docs, rows = awkward
-    got = sorted((tuple(r) for r in suffix_dedup.digest(docs, width).collect()), key=key)
+    got = sorted((tuple(r) for r in suffix_dedup.digest(docs, width).select(*CONTRACT).collect()), key=key)
     expected = [(i, *cut) for (i, _), cut in zip(rows, brute_cut([t for _, t in rows], width))]
     assert got == sorted(expected, key=key)
 
@@ -45,7 +77,7 @@ def test_cut_of_many_overlapping_copies(spark):
     texts = [base[rng.randrange(300) :] + prose(100 + i, 10) + base[: rng.randrange(700)] for i in range(60)]
     texts += ["ab" * 400, "ab" * 250 + "c"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    got = sorted(tuple(r) for r in suffix_dedup.digest(docs, 100).collect())
+    got = sorted(tuple(r) for r in suffix_dedup.digest(docs, 100).select(*CONTRACT).collect())
     assert got == [(i, *cut) for i, cut in enumerate(brute_cut(texts, 100))]
 
 
@@ -174,5 +206,5 @@ def test_narrow_cut_matches_brute_force(spark, width):
         a = rng.randrange(100)
         texts.append(f"{rng.random()}" + base[a : a + rng.randrange(20, 90)] + f"{rng.random()}")
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    got = sorted(tuple(r) for r in suffix_dedup.digest(docs, width).collect())
+    got = sorted(tuple(r) for r in suffix_dedup.digest(docs, width).select(*CONTRACT).collect())
     assert got == [(i, *cut) for i, cut in enumerate(brute_cut(texts, width))]
