@@ -53,6 +53,18 @@ MARKETING = _spec(
 )
 
 
+def spread(canonical: DataFrame) -> DataFrame:
+    """Deal rows over tasks by their place in the source before they are parsed.
+
+    A scan makes one task of a row group, a compressed file or a database query, and parsing costs far
+    more than reading. The number of tasks is the session's ``spark.sql.shuffle.partitions`` at every
+    size; only the canonical columns move. A place is a number of its own for each row, so a frequent
+    order cannot gather in one task here.
+    """
+    tasks = int(canonical.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return canonical.repartition(tasks, ORDINAL)
+
+
 def parse(canonical: DataFrame, spec: CleanSpec) -> DataFrame:
     """Type every column and mark complete rows. Narrow: no shuffle, no Python.
 

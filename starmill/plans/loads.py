@@ -71,7 +71,7 @@ def load(spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame, mo
     together when the run is published; a violated contract raises before.
     """
     run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
-    parsed = cleaning.parse(mart.spec.canonicalize(raw), mart.spec)
+    parsed = cleaning.parse(cleaning.spread(mart.spec.canonicalize(raw)), mart.spec)
     path = shared.new_path(spark, f"load-{mart.name}")
     try:
         complete, incomplete = cleaning.split(parsed, f"{path}/parsed")

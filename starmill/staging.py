@@ -54,7 +54,7 @@ def sales_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def _clean(spark: SparkSession, raw: DataFrame, spec: cleaning.CleanSpec) -> DataFrame:
     """As a load does it: parse into a table, then keep the last complete row of each order."""
-    parsed = cleaning.parse(spec.canonicalize(raw), spec)
+    parsed = cleaning.parse(cleaning.spread(spec.canonicalize(raw)), spec)
     complete, _ = cleaning.split(parsed, shared.new_path(spark, "parsed"))
     return cleaning.last_of(complete)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starmill import contracts
 from starmill.config import MartConfig
 from starmill.contracts import DIM_BRANCH, DIM_PRODUCT, DIM_STAGE, FACT_MARKETING, FACT_SALES
-from starmill.operators import checks
+from starmill.operators import checks, cleaning
 from starmill.operators.upsert import changed, upsert
 from starmill.plans import loads
 from starmill.sources import testdata
@@ -171,6 +171,19 @@ def test_source_is_read_once_per_load(spark, config, tmp_path):
     assert seen.value == len(FIRST)
 
 
+def test_rows_of_one_row_group_are_parsed_in_many_tasks(spark, tmp_path):
+    """However the source is cut into tasks, no task parses much more than its share."""
+    path = str(tmp_path / "one")
+    spark.range(20_000).select(F.col("id").cast("string").alias("order_id"), F.lit("5/1/2024").alias("date"),
+                               F.lit("North").alias("region"), F.lit("1").alias("revenue")).coalesce(1).write.parquet(path)
+    raw_rows = read_raw(spark, path)
+    assert raw_rows.rdd.getNumPartitions() == 1
+    parsed = cleaning.parse(cleaning.spread(cleaning.REVENUE.canonicalize(raw_rows)), cleaning.REVENUE)
+    sizes = [r["count"] for r in parsed.groupBy(F.spark_partition_id()).count().collect()]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) == tasks and max(sizes) < 1.2 * 20_000 / tasks
+
+
 def test_create_leaves_the_seeded_stages(spark, tmp_path):
     config = MartConfig(str(tmp_path), "marketing")
     assert loads.create(spark, config, loads.MARKETING) == 1
