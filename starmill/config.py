@@ -37,6 +37,11 @@ class MartConfig:
     ``table_names`` maps a contract's table name to the name used on disk. ``rows_per_file`` is the
     size of a file of the fact, see ``Warehouse``; it may change from load to load. The raw table is
     ``raw_name`` in the catalog, or the files at ``raw_path``.
+
+    ``max_deletes`` is how many deleted positions a reader of the fact has to know at most before files
+    are written anew, ``entries_per_part`` the files a part of the manifest lists, ``commit`` how a run
+    becomes visible (``rename`` or ``create``, see ``Manifest.commit``), and ``attempts`` how often a load
+    goes on after another one was published first.
     """
 
     root: str
@@ -48,6 +53,10 @@ class MartConfig:
     raw_format: str = "parquet"
     raw_ordinal: str | None = None
     rows_per_file: int = 1 << 20
+    max_deletes: int = 1 << 20
+    entries_per_part: int = 1000
+    commit: str = "rename"
+    attempts: int = 10
 
     def table(self, name: str) -> str:
         return self.table_names.get(name, name)

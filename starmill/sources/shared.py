@@ -27,8 +27,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def unused(path: str) -> str:
+    """A name beside ``path`` that nobody else uses."""
+    return f"{path}-{uuid.uuid4().hex}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/starmill/{name}-{uuid.uuid4().hex}"
+    return unused(f"{shared_folder(spark)}/starmill/{name}")
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -82,6 +87,32 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there; False if it is."""
+    files, target = _file_system(spark, path)
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file; None if there is none."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def state_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Change time, size and number of files of a table, from its listing alone."""
     files, target = _file_system(spark, path)

@@ -2,18 +2,19 @@
 
 Layout under ``<root>/<mart>/``::
 
-    manifest/run=<n>/     the data that makes up every table as of run n
+    manifest/run=<n>/     the data that makes up every table as of run n, see ``manifest``
     <table>/v<n>-<id>/    data written by run n
 
-A run writes new folders only, then one manifest that names the data of all tables. The manifest is
-written under a name nobody reads and becomes visible by one rename that fails if that run number is
-taken. So readers see the whole run or nothing of it; a run that dies leaves folders nobody reads
-and blocks nothing; and of two runs that start together one is published and the other refused.
+A run writes new folders only, then one list that names the data of all tables. The list becomes
+visible in one step that fails if that run number is taken. So readers see the whole run or nothing of
+it, and a run that dies leaves folders nobody reads and blocks nothing. Of two runs that start together
+one is published; the other takes its changes over to the newer tables (``Run.again``) and follows.
 
-The fact is a set of files of about ``rows_per_file`` rows. The manifest keeps the smallest and the
-largest key of each. A load looks up which files hold a key of its batch, merges the batch with
-those and with files that are less than half full, and writes the result in ranges of the key. Other
-files stay. The number of files follows the number of rows for dense, sparse and negative keys alike.
+The fact is a set of files of about ``rows_per_file`` rows. A load finds the files that hold a key of
+its batch by three steps, each of which reads only what the one before let pass: ranges in the
+manifest, key filters (``filters``), the key column. Replaced rows are deleted by position and the
+batch is written beside them; only files with less than half their rows left are written anew, as are
+the emptiest where more than ``max_deletes`` positions would have to be known to a reader.
 """
 
 from __future__ import annotations
@@ -21,33 +22,19 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmill.config import MartConfig
 from starmill.contracts import Table
-from starmill.sources import shared
-
-_ENTRY = "table STRING, path STRING, first LONG, last LONG, rows LONG"
-FILE = "_file"
-
-
-@dataclass(frozen=True)
-class Data:
-    """A folder of a dimension, or one file of a fact with its key range and number of rows."""
-
-    path: str
-    first: int | None = None
-    last: int | None = None
-    rows: int | None = None
-
-
-Tables = dict[str, tuple[Data, ...]]
+from starmill.sources import filters, shared
+from starmill.sources.filters import FILE, ROW
+from starmill.sources.manifest import Data, Listing, Manifest, Part
 
 
 class RunTaken(RuntimeError):
-    """Another run was published first; this one is not, and can be started again."""
+    """Another run was published first; this one is not, and can go on with ``again``."""
 
 
 class Warehouse:
@@ -57,40 +44,81 @@ class Warehouse:
         self.spark = spark
         self.config = config
         self.base = f"{config.root}/{config.mart}"
+        self.manifest = Manifest(spark, self.base, config.commit)
 
-    def _runs(self) -> list[int]:
-        """Numbers of all manifests, newest first, complete or not; from names alone."""
-        names = shared.children(self.spark, f"{self.base}/manifest")
-        return sorted((int(m[1]) for n in names if (m := re.fullmatch(r"run=(\d+)", n))), reverse=True)
+    def published(self) -> tuple[int, Listing]:
+        """Newest complete run and its list."""
+        return self.manifest.newest()
 
-    def _tables(self, run: int) -> Tables:
-        tables: dict[str, list[Data]] = {}
-        for r in self.spark.read.schema(_ENTRY).parquet(f"{self.base}/manifest/run={run}").collect():
-            tables.setdefault(r.table, []).append(Data(r.path, r["first"], r["last"], r.rows))
-        return {t: tuple(sorted(data, key=lambda d: d.path)) for t, data in tables.items()}
+    def files(self, table: Table) -> tuple[Data, ...]:
+        """Files of the published fact."""
+        _, listing = self.published()
+        return tuple(self.manifest.entries(listing.parts.get(self.config.table(table.name), ())))
 
-    def published(self) -> tuple[int, Tables]:
-        """Newest complete run and the data of its tables; reads that run's manifest only."""
-        for run in self._runs():
-            if tables := self._tables(run):
-                return run, tables
-        return 0, {}
+    def folder(self, name: str) -> str | None:
+        """Folder of a published table, also of one that no contract describes."""
+        _, listing = self.published()
+        return listing.folders.get(self.config.table(name))
+
+    def read(self, table: Table) -> DataFrame:
+        """The published rows of a table; empty before the first run."""
+        _, listing = self.published()
+        name = self.config.table(table.name)
+        if name in listing.folders:
+            return self.whole(table, listing.folders[name])
+        return self.scan(table, self.manifest.entries(listing.parts.get(name, ())))
+
+    def whole(self, table: Table, folder: str) -> DataFrame:
+        return self.spark.read.schema(table.schema).parquet(folder)
+
+    def nothing(self, table: Table) -> DataFrame:
+        return self.spark.range(0).select(*[F.lit(None).cast(c.dtype).alias(c.name) for c in table.columns])
+
+    def scan(self, table: Table, files: Sequence[Data]) -> DataFrame:
+        """Live rows of files of a fact. Files without deleted rows are read as they are."""
+        intact = [d.path for d in files if not d.deletes]
+        others = [d for d in files if d.deletes]
+        found = []
+        if intact:
+            found.append(self.spark.read.schema(table.schema).parquet(*intact))
+        if others:
+            found.append(self.placed(table, others, table.names).select(*table.names))
+        if not found:
+            return self.nothing(table)
+        return found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+
+    def placed(self, table: Table, files: Sequence[Data], columns: Sequence[str]) -> DataFrame:
+        """Live rows with the file and position of each. Deleted positions are joined to them; Spark
+        broadcasts them by their size, which ``max_deletes`` bounds."""
+        fields = T.StructType([f for f in table.schema if f.name in columns])
+        place = [F.col("_metadata.file_name").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
+        rows = self.spark.read.schema(fields).parquet(*[d.path for d in files]).select(*columns, *place)
+        if deletes := sorted({path for d in files for path in d.deletes}):
+            gone = self.spark.read.schema(f"{FILE} STRING, {ROW} LONG").parquet(*deletes)
+            rows = rows.join(gone, [FILE, ROW], "left_anti")
+        return rows
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete all but the last ``keep`` runs: their manifests, and data that only they or failed
-        runs wrote. Data of a run that may still be in progress, which has a higher number than any
+        """Delete all but the last ``keep`` runs: their lists, and data that only they or failed runs
+        wrote. Data of a run that may still be in progress, which has a higher number than any
         published one, stays. Call when no reader is older than the runs kept."""
-        kept: list[tuple[int, Tables]] = []
-        runs = self._runs()
+        kept: list[tuple[int, Listing]] = []
+        runs = self.manifest.runs()
         for run in runs:
-            if len(kept) < keep and (tables := self._tables(run)):
-                kept.append((run, tables))
+            if len(kept) < keep and (listing := self.manifest.listing(run)) is not None:
+                kept.append((run, listing))
         if not kept:
             return []
         newest, oldest = kept[0][0], kept[-1][0]
-        used = {shared.place(d.path) for _, tables in kept for data in tables.values() for d in data}
-        with_used = {p.rsplit("/", 1)[0] for p in used if p.endswith(".parquet")}
-        dead = [f"{self.base}/manifest/run={run}" for run in runs if run < oldest]
+        used: set[str] = set()
+        for _, listing in kept:
+            parts = [p for own in listing.parts.values() for p in own]
+            entries = self.manifest.entries(parts)
+            used.update(listing.folders.values(), (p.path for p in parts), (d.path for d in entries))
+            used.update((path for d in entries for path in d.deletes), (d.filter for d in entries if d.filter))
+        used = {shared.place(p) for p in used}
+        with_used = {p.rsplit("/", 1)[0] for p in used}
+        dead = [self.manifest.path(run) for run in runs if run < oldest]
         for table in shared.children(self.spark, self.base):
             for name in shared.children(self.spark, f"{self.base}/{table}"):
                 written = re.fullmatch(r"v(\d+)-\w+", name)
@@ -106,99 +134,199 @@ class Warehouse:
             shared.discard(self.spark, path)
         return sorted(dead)
 
-    def read(self, table: Table) -> DataFrame:
-        """The published rows of a table; empty before the first run."""
-        _, tables = self.published()
-        return self.scan(table, tables.get(self.config.table(table.name), ()))
-
-    def scan(self, table: Table, data: Sequence[Data]) -> DataFrame:
-        if not data:
-            columns = [F.lit(None).cast(c.dtype).alias(c.name) for c in table.columns]
-            return self.spark.range(0).select(*columns)
-        return self.spark.read.schema(table.schema).parquet(*[d.path for d in data])
-
     def start(self, rebuild: bool = False) -> Run:
         """Begin a run on top of the published tables, or of none of them.
 
-        Its number is above that of any manifest found, also of one that was never completed.
+        Its number is above that of any list found, also of one that was never completed.
         """
-        _, tables = self.published()
-        return Run(self, max(self._runs(), default=0) + 1, {} if rebuild else tables)
+        _, listing = self.published()
+        return Run(self, max(self.manifest.runs(), default=0) + 1, Listing() if rebuild else listing, rebuild)
+
+
+@dataclass(frozen=True)
+class Change:
+    """What a batch does to the files of a fact, told apart from the state it was worked out on."""
+
+    low: int
+    high: int
+    known: frozenset[str] = frozenset()  # files whose keys were looked up
+    removed: tuple[Data, ...] = ()  # files written anew, or without a row left
+    hits: dict[str, int] = field(default_factory=dict)  # other files, and how many of their rows are replaced
+    replaced: str | None = None  # table of the replaced rows with their positions
+    added: tuple[Data, ...] = ()
 
 
 class Run:
     """One load: writes data, then publishes it together."""
 
-    def __init__(self, warehouse: Warehouse, number: int, tables: Tables):
+    def __init__(self, warehouse: Warehouse, number: int, listing: Listing, rebuild: bool = False):
         self.warehouse = warehouse
         self.config = warehouse.config
+        self.manifest = warehouse.manifest
         self.number = number
-        self.before = tables
-        self.after = dict(tables)
+        self.before = listing
+        self.rebuild = rebuild
+        self.folders = dict(listing.folders)
+        self.parts = dict(listing.parts)
+        self.changes: dict[str, Change] = {}
+        self.earlier: dict[str, Change] = {}
         self.tag = f"v{number}-{uuid.uuid4().hex[:8]}"
 
+    def again(self) -> Run:
+        """The same run on top of what has been published since, with the changes worked out so far."""
+        run = self.warehouse.start(self.rebuild)
+        run.earlier = self.earlier | self.changes
+        return run
+
     def current(self, table: Table) -> DataFrame | None:
-        """Rows of a table before this run; None if there is no table."""
-        data = self.before.get(self.config.table(table.name))
-        return None if data is None else self.warehouse.scan(table, data)
+        """Rows of a whole table before this run; None if there is no table."""
+        folder = self.before.folders.get(self.config.table(table.name))
+        return None if folder is None else self.warehouse.whole(table, folder)
 
     def write(self, table: Table, df: DataFrame) -> DataFrame:
         """Write a whole table and read it back."""
-        path = self._path(table.name)
-        df.select(*table.names).write.parquet(path)
-        self.after[self.config.table(table.name)] = (Data(path),)
-        return self.warehouse.scan(table, self.after[self.config.table(table.name)])
+        return self.warehouse.whole(table, self.write_side(table.name, df.select(*table.names)))
 
     def write_side(self, name: str, df: DataFrame) -> str:
         """Write rows that no contract describes, such as rejects; the folder is part of the run."""
         path = self._path(name)
         df.write.parquet(path)
-        self.after[self.config.table(name)] = (Data(path),)
+        self.folders[self.config.table(name)] = path
         return path
 
-    def files_to_merge(self, table: Table, batch: DataFrame) -> tuple[tuple[Data, ...], int]:
-        """Files that hold a key of the batch, or are less than half full, and how many keys they share.
-
-        Files outside the batch's range are known from the manifest. Of the others only the key
-        column is read. At most one row per file comes to the driver.
-        """
-        files = self.before.get(self.config.table(table.name), ())
-        low, high = batch.agg(F.min(table.key), F.max(table.key)).first()
-        if low is None:
-            return (), 0
-        near = [d for d in files if d.first <= high and d.last >= low]
-        shared_keys: dict[str, int] = {}
-        if near:
-            keys = self.warehouse.scan(table, near).select(table.key, F.col("_metadata.file_path").alias(FILE))
-            found = keys.join(batch.select(table.key), table.key, "left_semi").groupBy(FILE).count()
-            shared_keys = {shared.place(path): n for path, n in found.collect()}
-        small = self.config.rows_per_file // 2
-        merged = tuple(d for d in files if d.path in shared_keys or d.rows < small)
-        return merged, sum(shared_keys.values())
-
-    def write_files(self, table: Table, df: DataFrame, rows: int, instead_of: Sequence[Data] = ()) -> None:
-        """Write the ``rows`` rows of ``df`` in ranges of the key, in place of the given files."""
-        kept = [d for d in self.before.get(self.config.table(table.name), ()) if d not in set(instead_of)]
-        path = self._path(table.name)
-        if rows:
-            files = -(-rows // self.config.rows_per_file)
-            df.select(*table.names).repartitionByRange(files, table.key).sortWithinPartitions(table.key).write.parquet(path)
-            found = self.warehouse.scan(table, [Data(path)]).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(
-                F.min(table.key).alias("first"), F.max(table.key).alias("last"), F.count("*").alias("n")
-            )
-            kept += [Data(shared.place(r[FILE]), r["first"], r["last"], r.n) for r in found.collect()]
-        self.after[self.config.table(table.name)] = tuple(kept)
+    def merge(self, table: Table, batch: DataFrame, rows: int, measures: Sequence[str] = ()) -> Change:
+        """Update or insert the ``rows`` rows of a written batch by key. The rows they replace are kept
+        with their position, key and ``measures``."""
+        name = self.config.table(table.name)
+        earlier = self.earlier.get(name)
+        if earlier and self._still_holds(table, earlier, batch, rows):
+            change = earlier
+        else:
+            change = self._merged(table, batch, rows, measures)
+        self.changes[name] = change
+        self.parts[name] = self._applied(name, change)
+        return change
 
     def publish(self) -> int:
         """Make the run visible. Raises ``RunTaken`` if a run of this number is there already."""
-        spark, folder = self.warehouse.spark, f"{self.warehouse.base}/manifest"
-        rows = [(t, d.path, d.first, d.last, d.rows) for t, data in self.after.items() for d in data]
-        hidden = f"{folder}/_new-{uuid.uuid4().hex}"
-        spark.createDataFrame(rows, _ENTRY).coalesce(1).write.parquet(hidden)
-        if not shared.rename(spark, hidden, f"{folder}/run={self.number}"):
-            shared.discard(spark, hidden)
+        if not self.manifest.commit(self.number, Listing(self.folders, self.parts)):
             raise RunTaken(f"run {self.number} of {self.warehouse.base} was published by another load")
         return self.number
 
     def _path(self, name: str) -> str:
         return f"{self.warehouse.base}/{self.config.table(name)}/{self.tag}"
+
+    @property
+    def _half(self) -> int:
+        return self.config.rows_per_file // 2
+
+    def _parts(self, name: str, low: int, high: int) -> list[Part]:
+        """Parts that may know a file of these keys, or that have a file or themselves half empty."""
+        half = self.config.entries_per_part // 2
+        return [p for p in self.before.parts.get(name, ()) if p.meets(low, high) or p.least < self._half or p.files < half]
+
+    def _holding(self, table: Table, files: Sequence[Data], batch: DataFrame, rows: int, low: int, high: int) -> list[Data]:
+        """Files that may hold a key of the batch, by range and then by filter."""
+        near = [d for d in files if d.first <= high and d.last >= low]
+        if near and rows <= filters.LOOKED_UP:
+            by_size: dict[int, list[Data]] = {}
+            for d in near:
+                by_size.setdefault(_buckets(d), []).append(d)
+            near = [d for n, own in by_size.items() for d in filters.may_hold(self.warehouse.spark, own, batch, table.key, n)]
+        return near
+
+    def _merged(self, table: Table, batch: DataFrame, rows: int, measures: Sequence[str]) -> Change:
+        name, key, spark = self.config.table(table.name), table.key, self.warehouse.spark
+        low, high = batch.agg(F.min(key), F.max(key)).first()
+        if low is None:
+            return Change(0, 0)
+        known = self.manifest.entries(self._parts(name, low, high))
+        near = self._holding(table, known, batch, rows, low, high)
+        replaced, counts = None, {}
+        if near:
+            replaced = self._path(f"{table.name}_replaced")
+            columns = [key, *table.insert_only, *[m for m in measures if m not in (key, *table.insert_only)]]
+            self.warehouse.placed(table, near, columns).join(batch.select(key), key).write.parquet(replaced)
+            gone = spark.read.parquet(replaced)
+            counts = {r[FILE]: r["count"] for r in gone.groupBy(FILE).count().collect()}
+        left = {d.path: d.live - counts.get(d.name, 0) for d in known}
+        removed = {d.path: d for d in known if left[d.path] < self._half}
+        deleted = sum(p.deleted for p in self.before.parts.get(name, ())) + sum(counts.values())
+        for d in sorted(known, key=lambda d: left[d.path] / d.rows):
+            if deleted <= self.config.max_deletes:
+                break
+            if left[d.path] < d.rows:
+                removed[d.path] = d
+                deleted -= d.rows - left[d.path]
+        incoming = batch
+        if counts and table.insert_only:
+            kept = gone.select(key, *[F.col(c).alias(f"_kept_{c}") for c in table.insert_only])
+            columns = [F.coalesce(f"_kept_{c}", c).alias(c) if c in table.insert_only else F.col(c) for c in batch.columns]
+            incoming = batch.join(kept, key, "left").select(*columns)
+        moved = [d for d in removed.values() if left[d.path]]
+        if moved:
+            stay = self.warehouse.placed(table, moved, table.names)
+            if counts:
+                stay = stay.join(gone.select(FILE, ROW), [FILE, ROW], "left_anti")
+            incoming = incoming.unionByName(stay.select(*incoming.columns))
+        return Change(
+            low,
+            high,
+            frozenset(left),
+            tuple(removed.values()),
+            {d.path: counts[d.name] for d in known if d.name in counts and d.path not in removed},
+            replaced,
+            self._write_files(table, incoming, rows + sum(left[d.path] for d in moved)),
+        )
+
+    def _write_files(self, table: Table, df: DataFrame, rows: int) -> tuple[Data, ...]:
+        """Write rows in ranges of the key, then read their keys once for ranges, counts and filters."""
+        if not rows:
+            return ()
+        path, filter_path, key = self._path(table.name), self._path(f"{table.name}_filter"), table.key
+        files = -(-rows // self.config.rows_per_file)
+        df = df.select(*table.names)
+        dealt = df.repartitionByRange(files, key) if files > 1 else df.repartition(1)
+        dealt.sortWithinPartitions(key).write.parquet(path)
+        written = self.warehouse.spark.read.schema(table.schema).parquet(path).select(key, F.col("_metadata.file_name").alias(FILE))
+        n = filters.buckets(self.config.rows_per_file)
+        made = filters.build(written, key, n).sortWithinPartitions("bucket")
+        made.write.option("compression", "zstd").parquet(f"{filter_path}/{n}")
+        stats = self.warehouse.spark.read.parquet(f"{filter_path}/{n}").groupBy(FILE)
+        found = stats.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows")).collect()
+        return tuple(Data(f"{path}/{r[FILE]}", r["first"], r["last"], r.rows, filter=f"{filter_path}/{n}") for r in found)
+
+    def _still_holds(self, table: Table, change: Change, batch: DataFrame, rows: int) -> bool:
+        """Whether a change worked out on an older state can be applied to this one: the files it
+        rewrote are as they were, those it deletes from are there, and no other file has its keys."""
+        if not change.added:
+            return True
+        name = self.config.table(table.name)
+        now = {d.path: d for d in self.manifest.entries(self._parts(name, change.low, change.high))}
+        if any(now.get(d.path) != d for d in change.removed) or any(path not in now for path in change.hits):
+            return False
+        new = [d for path, d in now.items() if path not in change.known]
+        near = self._holding(table, new, batch, rows, change.low, change.high)
+        if not near:
+            return True
+        return self.warehouse.placed(table, near, [table.key]).join(batch.select(table.key), table.key, "left_semi").isEmpty()
+
+    def _applied(self, name: str, change: Change) -> tuple[Part, ...]:
+        """Parts after a change: those with a changed entry, or less than half full, are written anew."""
+        parts = self.before.parts.get(name, ())
+        if not change.added and not change.removed and not change.hits:
+            return parts
+        removed, loaded = {d.path for d in change.removed}, self._parts(name, change.low, change.high)
+        entries = self.manifest.by_part(loaded)
+        half = self.config.entries_per_part // 2
+        anew = [p for p, own in entries.items() if p.files < half or any(d.path in removed or d.path in change.hits for d in own)]
+        files = [d for p in anew for d in entries[p] if d.path not in removed]
+        files = [d.without(change.hits[d.path], change.replaced) if d.path in change.hits else d for d in files]
+        folder = f"{self.warehouse.base}/parts/{self.tag}"
+        written = self.manifest.write_parts([*files, *change.added], folder, self.config.entries_per_part)
+        return (*[p for p in parts if p not in anew], *written)
+
+
+def _buckets(d: Data) -> int:
+    """Bitmaps of a file's filter, which its table is named after."""
+    return int(d.filter.rsplit("/", 1)[-1]) if d.filter else 1
