@@ -9,24 +9,26 @@ region.
 2. Every tree is one range sort by the first ``FIRST`` minima and the next few. Neighbours in a region
    are the ones with the longest common prefix: each node's best of them are confirmed on the full
    sets, and links are joined into components.
-3. A region all of whose nodes are in one component has nothing left to tell. Of the others, those of
-   up to ``CROWD`` nodes give all pairs across components; larger ones give their neighbours and are
-   sorted again to the next depth. So depth adapts to each region, and what a region costs does not
-   grow with the square of its size.
-4. Every depth lowers the chance that a linked pair meets in that tree: with similarity s it is
-   s ** depth. The sum over all trees bounds the chance that a node misses a link; nodes whose bound
-   rises above ``DOUBT`` are the exception (sets that are close to very many others, but not linked),
-   and the regions of the first depth that they still share across components are compared in
-   blocks, pair by pair.
+3. A region all of whose nodes are in one component has nothing left to tell. In the others nodes are
+   tried with the region's best-linked one, the likely origin of many copies, for a few rounds.
+4. Of regions that are still open those of up to ``CROWD`` nodes give all pairs across components;
+   larger ones give their neighbours and are sorted again to the next depth. So depth adapts to each
+   region, and what a region costs does not grow with the square of its size.
+5. Every depth lowers the chance that a linked pair meets in that tree: with similarity s it is
+   s ** depth. All trees together give the chance that a node in crowded regions misses a link; nodes
+   for which it rises above ``DOUBT`` are the exception (sets that are close to very many others, but
+   not linked), and are compared in blocks, pair by pair, with all nodes outside their component that
+   share a region of the first depth with them.
 
 Pairs pass a test on their signatures, which a linked pair fails with less than ``MISS``, before
-their texts meet. Without step 4's last part the chance to miss a link is at most 6e-11 for a pair.
+their texts meet. Without step 5's last part the chance to miss a link is at most 6e-11 for a pair.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,11 @@ from starmill.llm.tables import REST, ROW, TEXT, bucketed, numbered, partitions,
 PERCENT = 85
 TREES, FIRST = 32, 4
 HASHES = TREES * FIRST
-DEPTHS = (4, 6, 9, 14, 21, 32, 48, 72, 108, 128)
-CROWD = 32  # nodes of a region up to which all its pairs are tried
+DEPTHS = (4, 6, 9, 14, 24)
+CROWD = 12  # nodes of a region up to which all its pairs are tried
+ROUNDS, WORTH = 4, 20  # rounds with best-linked nodes, while one pair in so many is linked
 BEST = 2  # neighbours of a node that are confirmed before the others
-BLOCK = 1024  # nodes compared with each other in one go, in the last step
+BLOCK, TOKENS = 1024, 1 << 20  # nodes, or tokens, compared with each other in one go, in the last step
 MISS = 1e-9  # chance that a linked pair fails the test on signatures
 DOUBT = 1e-6  # largest chance to miss a link that needs no comparison in blocks
 U32 = np.uint32
@@ -233,6 +236,7 @@ class _Forest:
     def __init__(self, table: DataFrame, nodes: DataFrame, percent: int, n: int):
         self.table, self.nodes, self.percent, self.n = table, nodes, percent, n
         self.labels = table.sparkSession.createDataFrame([], "node long, label long")
+        self.links: list[DataFrame] = []
 
     def labelled(self, df: DataFrame, row: str, label: str) -> DataFrame:
         own = self.labels.select(F.col("node").alias(row), F.col("label").alias("_label"))
@@ -251,19 +255,27 @@ class _Forest:
         sized = both.filter(F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * self.percent)
         return staged(sized.select("x", "y", "s_x", "s_y").mapInArrow(_alike(self.percent), "x long, y long, equal int"), "alike")
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Link the pairs (x, y) whose full sets are alike, and join components."""
+    def confirm(self, pairs: DataFrame) -> int:
+        """Link the pairs (x, y) whose full sets are alike, and join components; how many were linked."""
         if pairs.isEmpty():
-            return
+            return 0
         at_x = self.table.select(F.col(ROW).alias("x"), F.col(TEXT).alias("text_x"))
         at_y = self.table.select(F.col(ROW).alias("y"), F.col(TEXT).alias("text_y"))
         met = pairs.select("x", "y").join(at_y, "y").join(at_x, "x").select("x", "y", "text_x", "text_y")
         links = staged(met.mapInArrow(_linked(self.percent, self.n), "x long, y long"), "linked")
+        return self.join(links)
+
+    def join(self, links: DataFrame) -> int:
+        """Join components by written links (x, y); how many they are."""
+        if not (linked := links.count()):
+            return 0
+        self.links.append(links)
         named = self.labelled(self.labelled(links, "x", "label_x"), "y", "label_y")
         joined = components(named.select(F.col("label_x").alias("x"), F.col("label_y").alias("y")).filter("x <> y"))
         onto = joined.select(F.col("node").alias("label"), F.col("label").alias("onto"))
         moved = spread_join(self.labels, staged(onto, "onto"), ["label"]).select("node", F.coalesce("onto", "label").alias("label"))
         self.labels = staged(moved.unionByName(joined.join(self.labels.select("node"), "node", "left_anti")), "labels")
+        return linked
 
     def best_first(self, pairs: DataFrame) -> None:
         """Confirm each node's best neighbours, then those of the others that are still across components."""
@@ -282,6 +294,25 @@ class _Forest:
         several = sizes.filter("a <> b").select("region", "members")
         return staged(spread_join(named, staged(several, "several"), ["region"]).filter("members IS NOT NULL"), "open")
 
+    def stars(self, level: DataFrame) -> None:
+        """Try the nodes of open regions with the best-linked node of each that has not been tried."""
+        used = self.table.sparkSession.createDataFrame([], "row_id long, used boolean")
+        for _ in range(ROUNDS):
+            members = self.open_regions(level)
+            if members.isEmpty() or not self.links:
+                return
+            ends = reduce(DataFrame.union, [links.select(F.explode(F.array("x", "y")).alias(ROW)) for links in self.links])
+            degrees = staged(ends.groupBy(ROW).agg(F.count("*").alias("degree")).join(used, ROW, "left").filter("used IS NULL"), "degrees")
+            scored = members.join(degrees, ROW)
+            lead = scored.groupBy("region").agg(F.max(F.struct("degree", F.xxhash64(ROW), ROW, "label")).alias("lead"))
+            lead = staged(lead.select("region", F.col("lead.row_id").alias("lead"), F.col("lead.label").alias("lead_label")), "lead")
+            met = spread_join(members.select("region", ROW, "label"), lead, ["region"]).filter("lead_label <> label")
+            pairs = staged(met.select(*_pair(ROW, "lead")).distinct(), "stars")
+            used = staged(used.unionByName(lead.select(F.col("lead").alias(ROW), F.lit(True).alias("used")).distinct()), "used")
+            alike = self.alike(pairs)
+            if self.confirm(alike) * WORTH < alike.count():
+                return
+
 
 def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
@@ -299,18 +330,45 @@ def _crowded(members: DataFrame) -> DataFrame:
     return two.select(F.col("p.row_id").alias("x"), F.col("q.row_id").alias("y"))
 
 
+def _tokens(n: int):
+    """The full set of each text, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in K.texts(batch.column(1)):
+                value, bounds = _shingles(piece, n)
+                sets = [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                rows = batch.column(0).slice(piece.first, len(piece))
+                yield pa.RecordBatch.from_arrays([rows, pa.array(sets, pa.binary())], names=["row_id", "tokens"])
+
+    return run
+
+
 def _blocks(percent: int):
-    """Pairs across components of two blocks of one region that pass the test on signatures."""
+    """Linked pairs across components of two blocks of one region, with a node in doubt at least: those
+    that pass the test on signatures are compared on their full sets. A pair that shares a region in
+    several trees is left to the first of them."""
     least = _least_matches(percent, MISS)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        tree = table.column("tree")[0].as_py()
         rows, labels = (table.column(c).to_numpy() for c in ("row_id", "label"))
         minima, side = _matrix(table.column("signature").combine_chunks()), table.column("side").to_numpy()
+        sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+        sizes, doubtful = np.array([len(t) for t in sets]), np.asarray(table.column("doubtful"))
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
         x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left.tolist():
-            other = right[labels[right] != labels[i]]
-            other = other[(minima[other] == minima[i]).sum(axis=1) >= least]
+            other = right[(labels[right] != labels[i]) & (doubtful[right] | doubtful[i])]
+            equal = minima[other] == minima[i]
+            common = equal.reshape(-1, TREES, FIRST).all(axis=2)
+            other = other[(equal.sum(axis=1) >= least) & (common.argmax(axis=1) == tree)]
+            if not len(other):
+                continue
+            theirs, own = np.concatenate([sets[j] for j in other.tolist()]), sets[i]
+            hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes[other]) - sizes[other])
+            other = other[100 * both >= percent * (sizes[i] + sizes[other] - both)]
             x.append(np.minimum(rows[i], rows[other]))
             y.append(np.maximum(rows[i], rows[other]))
         return pa.table({"x": np.concatenate(x), "y": np.concatenate(y)})
@@ -318,14 +376,16 @@ def _blocks(percent: int):
     return run
 
 
-def _all_across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components in large regions: a task sees two blocks of one region."""
-    count = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", count).withColumn("block", F.pmod(F.xxhash64(ROW), F.col("blocks")).cast("int"))
-    dealt = dealt.join(nodes.select(ROW, "signature"), ROW)
+def _all_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All linked pairs across components in regions: a task sees two blocks of one region, each of
+    about ``BLOCK`` nodes or ``TOKENS`` tokens. ``sets``: (row_id, signature, tokens)."""
+    filled = members.join(sets, ROW)
+    weights = filled.groupBy("region").agg((F.sum(F.octet_length("tokens")) / (8 * TOKENS)).alias("weight"))
+    dealt = filled.join(weights, "region").withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, "weight")).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(ROW), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sides = met.select(
-        "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), ROW, "label", "signature",
+        "region", "tree", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), ROW, "label", "signature", "tokens", "doubtful",
         F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
     )
     return sides.groupBy("region", "i", "j").applyInArrow(_blocks(percent), "x long, y long").distinct()
@@ -342,8 +402,10 @@ def forest_links(table: DataFrame, sets: DataFrame, classes: DataFrame, percent:
     nodes = staged(chosen.select(ROW, "n", "signature"), "nodes")
     forest = _Forest(table, nodes, percent, n)
     every_tree = F.array([F.lit(t) for t in range(TREES)]).alias("trees")
-    level, doubts = _level(nodes.select("*", every_tree), DEPTHS[0]), []
-    forest.best_first(_neighbours(level))
+    first, doubts = _level(nodes.select("*", every_tree), DEPTHS[0]), []
+    forest.best_first(_neighbours(first))
+    forest.stars(first)
+    level = first
     for depth, deeper in zip(DEPTHS, [*DEPTHS[1:], math.inf]):
         members = forest.open_regions(level)
         if members.isEmpty():
@@ -365,9 +427,12 @@ def forest_links(table: DataFrame, sets: DataFrame, classes: DataFrame, percent:
             doubtful = doubtful.unionByName(more)
         doubtful = staged(doubtful.groupBy(ROW).agg(F.sum("doubt").alias("doubt")).filter(F.col("doubt") > bound).select(ROW), "doubtful")
         if not doubtful.isEmpty():
-            level = _level(nodes.join(doubtful, ROW).select("*", every_tree), DEPTHS[0])
-            pairs = staged(_all_across(forest.open_regions(level), nodes, percent), "across")
-            forest.confirm(pairs)
+            members = forest.open_regions(first).join(doubtful.withColumn("doubtful", F.lit(True)), ROW, "left")
+            members = staged(members.withColumn("doubtful", F.coalesce("doubtful", F.lit(False))), "members")
+            members = members.join(members.filter("doubtful").select("region").distinct(), "region", "left_semi")
+            texts = table.select(ROW, TEXT).join(members.select(ROW).distinct(), ROW)
+            full = texts.mapInArrow(_tokens(n), "row_id long, tokens binary").join(nodes.select(ROW, "signature"), ROW)
+            forest.join(staged(_all_across(members, staged(full, "full"), percent), "across"))
     return forest.labels
 
 

@@ -78,12 +78,24 @@ def test_families(spark, crowd, doubt):
 
 
 def test_blocks_alone_find_all_pairs_of_a_region(spark):
-    rows = [(i, 0, 5000 if i < 2500 else 7000, 2900) for i in range(2900)]
-    members = spark.createDataFrame(rows, "row_id long, region long, label long, members long")
+    rows = [(i, t, t, 5000 if i < 2500 else 7000, 2900, i < 2000) for i in range(2900) for t in (0, 1)]
+    members = spark.createDataFrame(rows, "row_id long, region long, tree int, label long, members long, doubtful boolean")
     signature = np.full(lsh_forest.HASHES, 7, np.uint16).tobytes()
-    nodes = spark.createDataFrame([(i, bytearray(signature)) for i in range(2900)], "row_id long, signature binary")
-    found = lsh_forest._all_across(members, nodes, 85)
-    assert found.count() == 2500 * 400
+    same, other = (np.array(t, np.uint64).tobytes() for t in ([3, 5, 8], [3, 5, 8, 13]))
+    rows = [(i, bytearray(signature), bytearray(other if i % 10 == 0 else same)) for i in range(2900)]
+    sets = spark.createDataFrame(rows, "row_id long, signature binary, tokens binary")
+    found = lsh_forest._all_across(members, sets, 85)
+    assert found.count() == 1800 * 360 + 200 * 40
+
+
+def test_copies_that_are_alike_through_their_origin_alone(spark):
+    """A star of many copies, none linked with another one, among sets that are close and not linked."""
+    hub = prose(77, 300)
+    rows = [(1000 + i, edited(hub, 0.014, 500 + i)) for i in range(250)] + [(1, hub)]
+    rows += [(5000 + i, edited(hub, 0.05, 9000 + i)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in lsh_forest.digest(docs).collect())
+    assert got == sorted(brute(rows)) and sum(c == 1 for _, _, c, _ in got) > 150
 
 
 def test_signatures_agree_as_often_as_sets():
