@@ -555,3 +555,12 @@ ORACLES: dict[str, str] = {
         {ratio('SUM(revenue)', 'SUM(market_size)')} AS revenue_of_market FROM clean GROUP BY 1""",
 }
 ORACLES["loaded_dim_product"] = ORACLES["upsert_products"]
+
+# A report from the kept state gives the same rows as from the fact.
+ORACLES |= {
+    f"kept_{name}": ORACLES[name]
+    for name in (
+        *("revenue_by_region", "top_products_per_category", "calendar_rollup", "kpi_totals"),
+        *("stage_funnel", "target_vs_actual", "cost_breakdown", "operations_summary"),
+    )
+}

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starmill import contracts
 from starmill.config import MartConfig
 from starmill.contracts import Table
-from starmill.operators import checks, cleaning, dimensions, facts
+from starmill.operators import checks, cleaning, dimensions, facts, summaries
 from starmill.operators.cleaning import CleanSpec
 from starmill.operators.upsert import upsert
 from starmill.sources import seeds, shared
 from starmill.sources.reader import read_raw
-from starmill.sources.warehouse import Run, RunTaken, Warehouse
+from starmill.sources.warehouse import Change, Run, RunTaken, Warehouse
 
 
 @dataclass(frozen=True)
@@ -167,4 +167,27 @@ def _load_fact(run: Run, mart: Mart, clean: DataFrame, dims: dict[str, DataFrame
         )
     if table.insert_only:
         batch = batch.select("*", *[F.localtimestamp().alias(c) for c in table.insert_only])
-    run.merge(table, batch, rows)
+    spec = summaries.SPECS[table.name]
+    change = run.merge(table, batch, rows, spec.columns)
+    _load_summary(run, table, spec, batch, change)
+
+
+def _load_summary(run: Run, table: Table, spec: summaries.Spec, batch: DataFrame, change: Change) -> None:
+    """Add the batch to the report state and take away what it replaces. A fact that was loaded before
+    there was a state is summed up once."""
+    name, warehouse = summaries.name_of(table), run.warehouse
+    folder, parts = run.before.folders.get(run.config.table(name)), run.before.parts.get(run.config.table(table.name), ())
+    states = [summaries.summarize(batch, spec)]
+    if folder:
+        states.append(run.warehouse.spark.read.parquet(folder))
+    elif parts:
+        states.append(summaries.summarize(warehouse.scan(table, run.manifest.entries(parts)), spec))
+    replaced = [] if change.replaced is None else [summaries.summarize(warehouse.spark.read.parquet(change.replaced), spec)]
+    run.write_side(name, summaries.combine(spec, states, replaced))
+
+
+def summary(warehouse: Warehouse, table: Table) -> summaries.Summary:
+    """The published report state of a fact."""
+    spec, folder = summaries.SPECS[table.name], warehouse.folder(summaries.name_of(table))
+    state = warehouse.spark.read.parquet(folder) if folder else summaries.summarize(warehouse.nothing(table), spec)
+    return summaries.Summary(spec, state)

@@ -1,4 +1,5 @@
-"""Dashboard queries over the marketing star schema (A10-A17). Same rules as the revenue marts."""
+"""Dashboard queries over the marketing star schema (A10-A17). Same rules as the revenue marts; ``fact``
+may be the rows of the fact or its summary."""
 
 from __future__ import annotations
 
@@ -7,24 +8,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.functions.numbers import RATIO, TOTAL, ratio, total
+from starmill.operators.summaries import Rows, Summary, measured
+
+Fact = DataFrame | Summary
 
 COSTS = ["raw_material_cost", "labor_cost", "logistics_cost", "marketing_cost"]
 
 
-def _average(column: str) -> Column:
+def _average(source: Rows | Summary, column: str) -> Column:
     """Mean over the rows that have a value, from exact sums."""
-    return ratio(F.sum(column).cast("decimal(38,6)"), F.count(column).cast("decimal(20,0)"))
+    return ratio(source.sum(column).cast("decimal(38,6)"), source.count(column).cast("decimal(20,0)"))
 
 
-def _performance(fact: DataFrame, *keys: str) -> DataFrame:
-    return fact.groupBy(*keys).agg(
-        F.count("*").alias("orders"),
-        total("revenue").alias("revenue"),
-        total("profit").alias("profit"),
-        total("marketing_cost").alias("marketing_cost"),
-        total("budget").alias("budget"),
-        total("target").alias("target"),
-    )
+def _total(source: Rows | Summary, column: str, alias: str | None = None) -> Column:
+    return source.sum(column).cast(TOTAL).alias(alias or column)
+
+
+def _performance(fact: Fact, *keys: str) -> DataFrame:
+    source = measured(fact)
+    totals = [_total(source, c) for c in ("revenue", "profit", "marketing_cost", "budget", "target")]
+    return source.rows(*keys).groupBy(*keys).agg(source.orders().alias("orders"), *totals)
 
 
 def _rolled(rows: DataFrame, key: str) -> DataFrame:
@@ -34,16 +37,17 @@ def _rolled(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def stage_funnel(fact: DataFrame, dim_stage: DataFrame) -> DataFrame:
+def stage_funnel(fact: Fact, dim_stage: DataFrame) -> DataFrame:
     """A10. Every stage, also without orders, against the step before it.
 
     The step before is found by an equi-join on the order number, not by a window over all stages:
     unseen stages share number 99, have no step before, and there may be any number of them.
     """
-    seen = fact.groupBy("stage_name").agg(
-        F.count("*").alias("orders"),
-        total("revenue").alias("revenue"),
-        _average("conversion_proxy").alias("avg_conversion"),
+    source = measured(fact)
+    seen = source.rows("stage_name").groupBy("stage_name").agg(
+        source.orders().alias("orders"),
+        _total(source, "revenue"),
+        _average(source, "conversion_proxy").alias("avg_conversion"),
     )
     stages = dim_stage.join(seen, "stage_name", "left").select(
         "stage_name",
@@ -65,7 +69,7 @@ def stage_funnel(fact: DataFrame, dim_stage: DataFrame) -> DataFrame:
     )
 
 
-def channel_effectiveness(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
+def channel_effectiveness(fact: Fact, dim_channel: DataFrame) -> DataFrame:
     """A11."""
     rows = _performance(fact, "channel_name").join(dim_channel, "channel_name", "left")
     return rows.select(
@@ -80,7 +84,7 @@ def channel_effectiveness(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
     )
 
 
-def channel_type_effectiveness(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
+def channel_type_effectiveness(fact: Fact, dim_channel: DataFrame) -> DataFrame:
     """A11 by type of channel."""
     rows = _rolled(_performance(fact, "channel_name").join(dim_channel, "channel_name", "left"), "channel_type")
     return rows.select(
@@ -94,13 +98,13 @@ def channel_type_effectiveness(fact: DataFrame, dim_channel: DataFrame) -> DataF
     )
 
 
-def campaign_performance(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
+def campaign_performance(fact: Fact, dim_campaign: DataFrame) -> DataFrame:
     """A12. Orders without a campaign are a group of their own."""
     rows = _performance(fact, "campaign_name").join(dim_campaign, "campaign_name", "left")
     return rows.select("campaign_type", "campaign_name", "orders", "revenue", "profit", "marketing_cost")
 
 
-def campaign_type_performance(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
+def campaign_type_performance(fact: Fact, dim_campaign: DataFrame) -> DataFrame:
     """A12 by type of campaign."""
     rows = _performance(fact, "campaign_name").join(dim_campaign, "campaign_name", "left")
     return _rolled(rows, "campaign_type").select(
@@ -108,10 +112,11 @@ def campaign_type_performance(fact: DataFrame, dim_campaign: DataFrame) -> DataF
     )
 
 
-def target_vs_actual(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def target_vs_actual(fact: Fact, dim_date: DataFrame) -> DataFrame:
     """A13. By channel and month; the gap sums the per-order gaps."""
-    days = fact.groupBy("channel_name", "full_date").agg(
-        total("revenue").alias("revenue"), total("target").alias("target"), total("target_gap").alias("gap")
+    source, keys = measured(fact), ("channel_name", "full_date")
+    days = source.rows(*keys).groupBy(*keys).agg(
+        _total(source, "revenue"), _total(source, "target"), _total(source, "target_gap", "gap")
     )
     months = days.join(dim_date.select("full_date", "year_month"), "full_date").groupBy(
         "channel_name", "year_month"
@@ -121,22 +126,24 @@ def target_vs_actual(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     ).select("*", ratio(F.col("revenue"), F.col("target")).alias("achievement_rate"))
 
 
-def campaign_roi(fact: DataFrame) -> DataFrame:
+def campaign_roi(fact: Fact) -> DataFrame:
     """A14. Profit over budget; ``avg_roi`` is the mean of the per-order figure."""
-    return fact.groupBy("campaign_name").agg(
-        total("profit").alias("profit"),
-        total("budget").alias("budget"),
-        ratio(total("profit"), total("budget")).alias("roi"),
-        _average("roi_marketing_calc").alias("avg_roi"),
+    source = measured(fact)
+    return source.rows("campaign_name").groupBy("campaign_name").agg(
+        _total(source, "profit"),
+        _total(source, "budget"),
+        ratio(source.sum("profit").cast(TOTAL), source.sum("budget").cast(TOTAL)).alias("roi"),
+        _average(source, "roi_marketing_calc").alias("avg_roi"),
     )
 
 
-def cost_breakdown(fact: DataFrame) -> DataFrame:
+def cost_breakdown(fact: Fact) -> DataFrame:
     """A15. One row per machine and cost component, with its share of the machine's cost."""
-    sums = fact.groupBy("machine_name").agg(
-        *[total(c).alias(c) for c in COSTS],
-        _average("unit_cost").alias("avg_unit_cost"),
-        _average("cost_per_machine_unit").alias("avg_cost_per_machine_unit"),
+    source = measured(fact)
+    sums = source.rows("machine_name").groupBy("machine_name").agg(
+        *[_total(source, c) for c in COSTS],
+        _average(source, "unit_cost").alias("avg_unit_cost"),
+        _average(source, "cost_per_machine_unit").alias("avg_cost_per_machine_unit"),
     )
     amounts = [F.coalesce(c, F.lit(0).cast(TOTAL)) for c in COSTS]
     wide = sums.withColumn("all_costs", reduce(Column.__add__, amounts).cast(TOTAL))
@@ -152,27 +159,29 @@ def cost_breakdown(fact: DataFrame) -> DataFrame:
     )
 
 
-def operations_summary(fact: DataFrame) -> DataFrame:
+def operations_summary(fact: Fact) -> DataFrame:
     """A16. By department, machine and information."""
-    return fact.groupBy("department_name", "machine_name", "information_name").agg(
-        F.count("*").alias("orders"),
-        total("inventory_level").alias("inventory"),
-        total("calls").alias("calls"),
-        total("waiting_time").alias("waiting_time"),
-        _average("inventory_level").alias("avg_inventory"),
-        _average("calls").alias("avg_calls"),
-        _average("waiting_time").alias("avg_waiting_time"),
+    source, keys = measured(fact), ("department_name", "machine_name", "information_name")
+    return source.rows(*keys).groupBy(*keys).agg(
+        source.orders().alias("orders"),
+        _total(source, "inventory_level", "inventory"),
+        _total(source, "calls"),
+        _total(source, "waiting_time"),
+        _average(source, "inventory_level").alias("avg_inventory"),
+        _average(source, "calls").alias("avg_calls"),
+        _average(source, "waiting_time").alias("avg_waiting_time"),
     )
 
 
-def market_metrics(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def market_metrics(fact: Fact, dim_date: DataFrame) -> DataFrame:
     """A17. By month, from per-day sums and counts."""
-    days = fact.groupBy("full_date").agg(
-        total("market_size").alias("market_size"),
-        F.count("market_size").alias("n_size"),
-        F.sum("market_share").cast("decimal(38,6)").alias("market_share"),
-        F.count("market_share").alias("n_share"),
-        total("revenue").alias("revenue"),
+    source = measured(fact)
+    days = source.rows("full_date").groupBy("full_date").agg(
+        _total(source, "market_size"),
+        source.count("market_size").alias("n_size"),
+        source.sum("market_share").cast("decimal(38,6)").alias("market_share"),
+        source.count("market_share").alias("n_share"),
+        _total(source, "revenue"),
     )
     months = days.join(dim_date.select("full_date", "year_month"), "full_date").groupBy("year_month")
     sums = months.agg(

@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmill.functions.numbers import TOTAL, ratio, total
+from starmill.operators.summaries import Summary, measured
 
+Fact = DataFrame | Summary
 
-def _by(fact: DataFrame, *keys: str) -> DataFrame:
-    return fact.groupBy(*keys).agg(
-        F.count("*").alias("orders"), total("revenue").alias("revenue"), total("profit").alias("profit")
-    )
+
+def _by(fact: Fact, *keys: str) -> DataFrame:
+    source = measured(fact)
+    totals = [source.sum(m).cast(TOTAL).alias(m) for m in ("revenue", "profit")]
+    return source.rows(*keys).groupBy(*keys).agg(source.orders().alias("orders"), *totals)
 
 
 def _again() -> list[Column]:
@@ -25,7 +28,7 @@ def _again() -> list[Column]:
     ]
 
 
-def revenue_by_region(fact: DataFrame) -> DataFrame:
+def revenue_by_region(fact: Fact) -> DataFrame:
     """A1. The grand total is a window over the region rows, so the fact is scanned once.
 
     One task sees that window: a row per region, however many orders there are.
@@ -42,7 +45,7 @@ def revenue_by_region(fact: DataFrame) -> DataFrame:
     )
 
 
-def region_branch_rollup(fact: DataFrame) -> DataFrame:
+def region_branch_rollup(fact: Fact) -> DataFrame:
     """A2. Rolls up branch totals, not orders; ``level`` is 0 branch, 1 region, 3 all."""
     rows = _by(fact, "region_name", "branch_name")
     return rows.rollup("region_name", "branch_name").agg(
@@ -50,14 +53,14 @@ def region_branch_rollup(fact: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_category_product(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+def revenue_by_category_product(fact: Fact, dim_product: DataFrame) -> DataFrame:
     """A3. Orders without a product are one row with neither product nor category."""
     return _by(fact, "product_name").join(dim_product, "product_name", "left").select(
         "category", "product_name", "orders", "revenue", "profit"
     )
 
 
-def top_products_per_category(fact: DataFrame, dim_product: DataFrame, n: int = 5) -> DataFrame:
+def top_products_per_category(fact: Fact, dim_product: DataFrame, n: int = 5) -> DataFrame:
     """A3, best ``n`` products of each category; ties go by name.
 
     Spark limits each category to ``n`` rows per task before the shuffle.
@@ -67,28 +70,28 @@ def top_products_per_category(fact: DataFrame, dim_product: DataFrame, n: int =
     return products.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def revenue_by_channel(fact: DataFrame) -> DataFrame:
+def revenue_by_channel(fact: Fact) -> DataFrame:
     """A4."""
     return _by(fact, "channel_name")
 
 
-def revenue_by_segment(fact: DataFrame) -> DataFrame:
+def revenue_by_segment(fact: Fact) -> DataFrame:
     """A5."""
     return _by(fact, "segment_name")
 
 
-def revenue_by_promotion(fact: DataFrame) -> DataFrame:
+def revenue_by_promotion(fact: Fact) -> DataFrame:
     """A6. Orders without a promotion are a group of their own."""
     return _by(fact, "promotion_campaign").withColumn(
         "margin", ratio(F.col("profit"), F.col("revenue"))
     )
 
 
-def _by_day(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def _by_day(fact: Fact, dim_date: DataFrame) -> DataFrame:
     return _by(fact, "full_date").join(dim_date, "full_date")
 
 
-def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def monthly_trend(fact: Fact, dim_date: DataFrame) -> DataFrame:
     """A7. The one-partition window sees months, of which the supported dates span about 7,000."""
     days = _by_day(fact, dim_date)
     months = days.groupBy("year_month").agg(*_again())
@@ -100,7 +103,7 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def calendar_rollup(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def calendar_rollup(fact: Fact, dim_date: DataFrame) -> DataFrame:
     """A8. ``level`` is 0 month, 1 quarter, 3 year, 7 all."""
     days = _by_day(fact, dim_date)
     months = days.groupBy("year", "quarter", "year_month").agg(*_again())
@@ -109,8 +112,10 @@ def calendar_rollup(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def kpi_totals(fact: DataFrame) -> DataFrame:
+def kpi_totals(fact: Fact) -> DataFrame:
     """A9."""
     measures = ["revenue", "profit", "cost", "market_size", "budget", "logistics_cost", "marketing_cost"]
-    totals = fact.agg(F.count("*").alias("orders"), *[total(m).alias(m) for m in measures])
+    source = measured(fact)
+    totals = [source.sum(m).cast(TOTAL).alias(m) for m in measures]
+    totals = source.rows().agg(F.coalesce(source.orders(), F.lit(0)).alias("orders"), *totals)
     return totals.select("*", ratio(F.col("profit"), F.col("revenue")).alias("margin"))

@@ -304,6 +304,33 @@ MARKETING_MARTS: dict[str, Query] = {
     "market_metrics": _marketing(marketing_marts.market_metrics, "dim_date"),
 }
 
+def _kept(mart: loads.Mart, report: Callable, *dims: contracts.Table) -> Query:
+    """A report from the state that two loads keep, without a row of the fact."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        if mart is loads.REVENUE:
+            warehouse = _deliver(spark, staging.sales_deliveries(spark, sf))
+        else:
+            config = _warehouse(spark, mart.name)
+            for batch in _event_halves(spark, sf):
+                loads.load(spark, config, mart, batch)
+            warehouse = Warehouse(spark, config)
+        return report(loads.summary(warehouse, mart.fact), *[warehouse.read(d) for d in dims])
+
+    return query
+
+
+KEPT_MARTS: dict[str, Query] = {
+    "kept_revenue_by_region": _kept(loads.REVENUE, revenue_marts.revenue_by_region),
+    "kept_top_products_per_category": _kept(loads.REVENUE, revenue_marts.top_products_per_category, contracts.DIM_PRODUCT),
+    "kept_calendar_rollup": _kept(loads.REVENUE, revenue_marts.calendar_rollup, contracts.DIM_DATE),
+    "kept_kpi_totals": _kept(loads.REVENUE, revenue_marts.kpi_totals),
+    "kept_stage_funnel": _kept(loads.MARKETING, marketing_marts.stage_funnel, contracts.DIM_STAGE),
+    "kept_target_vs_actual": _kept(loads.MARKETING, marketing_marts.target_vs_actual, contracts.DIM_DATE),
+    "kept_cost_breakdown": _kept(loads.MARKETING, marketing_marts.cost_breakdown),
+    "kept_operations_summary": _kept(loads.MARKETING, marketing_marts.operations_summary),
+}
+
 QUERIES: dict[str, Query] = {
     "sales_canonical": sales_canonical,
     "marketing_canonical": marketing_canonical,
@@ -355,4 +382,5 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     **REVENUE_MARTS,
     **MARKETING_MARTS,
+    **KEPT_MARTS,
 }

@@ -39,7 +39,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() == 5
 
 
-LOADS = ("revenue_", "marketing_load", "marketing_created", "loaded_dim", "upsert_sparse", "declared")
+LOADS = ("kept_", "revenue_", "marketing_load", "marketing_created", "loaded_dim", "upsert_sparse", "declared")
 READS = [n for n in QUERIES if not n.startswith(LOADS) or n.startswith("revenue_by")]
 
 
