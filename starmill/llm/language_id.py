@@ -26,8 +26,8 @@ SMOOTHING = 0.5
 SWITCH = 12.0  # log probability that a change of language between two words costs
 RARE_SCRIPT = 0.01  # a language has the scripts of at least this share of its words
 IMPOSSIBLE = -1e4
-MOST_LANGUAGES = 512
-PIECE = 1 << 22
+MOST_LANGUAGES = 512  # languages that are learned: those with most texts
+PIECE = 1 << 22  # bytes of text worked on at a time with few languages
 
 LETTERS = K._bytes_where(lambda b: b >= 0x80 or chr(b).isalpha())
 
@@ -133,15 +133,17 @@ class Model:
         return found, scores
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = MOST_LANGUAGES) -> Model:
     """Count features of all texts with a language. The driver gets sums: at most ``WIDTH`` numbers
-    for each of at most ``MOST_LANGUAGES`` languages."""
+    for each of at most ``most`` languages. If there are more, as in a dirty column, those with most
+    texts are learned, ties by name; the others are no language that is ever predicted."""
     known = docs.select(F.col(f"`{text}`"), F.col(f"`{lang}`")).dropna()
+    frequent = known.groupBy(f"`{lang}`").count().orderBy(F.desc("count"), f"`{lang}`").limit(most).select(F.col(f"`{lang}`").alias("_lang")).collect()
+    kept = docs.sparkSession.createDataFrame(frequent, "_lang string")  # at most ``most`` rows
+    known = known.join(F.broadcast(kept), F.col(f"`{lang}`") == F.col("_lang"), "left_semi")
     counted = known.mapInArrow(_counts, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     rows = counted.toPandas()
     names = sorted(set(rows["lang"]))
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts = np.zeros((len(names), WIDTH))
     counts[rows["lang"].map({n: i for i, n in enumerate(names)}).to_numpy(int), rows["feature"].to_numpy(int)] = rows["n"].to_numpy()
     return Model(names, counts)
@@ -195,7 +197,8 @@ def _predict(model, with_spans: bool):
         own: Model = model.value
         for batch in batches:
             has_letter = batch.column(2).to_numpy(zero_copy_only=False)
-            for piece in K.texts(batch.column(1), PIECE):
+            # words times languages are held at once, about as many for many languages as for sixteen
+            for piece in K.texts(batch.column(1), min(PIECE, 16 * PIECE // len(own.names))):
                 found, scores = own.word_scores(piece)
                 label = viterbi(scores, found.bounds)
                 text, size, langs = found.text_of(), found.ends - found.starts, len(own.names)

@@ -1,6 +1,10 @@
 """Nearest neighbours by largest inner product with a permutation index.
 
-Vectors are put into bands of about equal length (``BANDS`` for each doubling, however long the
+Vectors are first centred: taking one vector from all candidates changes each inner product with a
+query by the same amount, and spreads the directions of vectors that share an offset. The centre is the
+median of the pivots' components, which no few long vectors can move. Queries are not centred.
+
+Centred vectors are put into bands of about equal length (``BANDS`` for each doubling, however long the
 longest is). Within a band the largest inner product with a query is nearly the smallest angle, so
 pivots are directions, and each vector is represented by the ``PREFIX`` pivots of the smallest angle
 in order, queries and others alike. The index deals the vectors into shards of bounded size and
@@ -33,10 +37,9 @@ from starmill.llm.tables import ROW, staged
 
 PIVOTS = 2048  # pivots: so many vectors at most, those with the smallest hash
 PREFIX = 64
-SHARE = 0.12
-LEAST = 1000  # candidates of a shard that are reranked at least, by the sizes of its bands
+SHARE = 0.15
 BANDS = 3  # bands of length for each doubling
-TIMES = 4  # a band reranks at least so many times what is asked for: all answers can lie in the longest
+TIMES = 8  # a band reranks at least so many times what is asked for: all answers can lie in the longest
 SHARD = 50_000
 QUERY_BLOCK = 5_000
 
@@ -58,12 +61,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of length 1, and the band of each vector's length; lengths of 1 lie inside a band."""
     largest = np.abs(x).max(axis=1, keepdims=True)  # squares of very long or short ones have no double
+    largest[largest == 0] = np.finfo(float).tiny  # the centre itself has no direction
     x = x / largest
-    length = np.sqrt((x**2).sum(axis=1, keepdims=True))
+    length = np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), np.finfo(float).tiny)
     doublings = np.log2(largest[:, 0]) + np.log2(length[:, 0])
     return x / length, np.floor(BANDS * doublings + 0.5).astype(np.int32)
 
 
+def _centred(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Halved, so that no difference is beyond a double."""
+    return x / 2 - centre / 2
+
+
 def _prefix(near: np.ndarray) -> np.ndarray:
     """The nearest pivots of each row in order, from inner products."""
     length = min(PREFIX, near.shape[1])
@@ -72,7 +81,9 @@ def _prefix(near: np.ndarray) -> np.ndarray:
     return np.take_along_axis(some, order, axis=1).astype(np.int16)
 
 
-def _indexed(pivots):
+def _indexed(pivots, centred: bool):
+    """Band and ordered pivots of vectors, of centred ones as candidates and of others as queries."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 512):
@@ -80,8 +91,9 @@ def _indexed(pivots):
                 for dimension in sorted(set(part.column(2).to_pylist())):
                     rows = part.filter(pc.equal(part.column(2), dimension))
                     x = _matrix(rows.column(1))
-                    directions, band = _directions(x)
-                    order = _prefix(directions @ pivots.value[dimension].T)
+                    centre, own = pivots.value[dimension]
+                    directions, band = _directions(_centred(x, centre) if centred else x)
+                    order = _prefix(directions @ own.T)
                     yield pa.RecordBatch.from_arrays(
                         [*rows.columns, pa.array(band), pa.array([o.tobytes() for o in order], pa.binary())],
                         names=[*rows.schema.names, "band", "pivots"],
@@ -90,12 +102,17 @@ def _indexed(pivots):
     return run
 
 
-def pivots_of(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Directions of the pivots by dimension. At most ``PIVOTS`` of each are sampled."""
+def pivots_of(classes: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The centre and the directions of the pivots by dimension. At most ``PIVOTS`` of each are sampled."""
     hashed = classes.select("dimension", "vector", F.xxhash64("vector").alias("hash"))
     rank = F.row_number().over(Window.partitionBy("dimension").orderBy("hash"))
     sample = hashed.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS).orderBy("dimension", "rank").toPandas()
-    return {d: _directions(np.array(part["vector"].tolist(), np.float64))[0] for d, part in sample.groupby("dimension")}
+    out = {}
+    for d, part in sample.groupby("dimension"):
+        x = np.array(part["vector"].tolist(), np.float64)
+        centre = 2 * np.median(x / 2, axis=0)
+        out[d] = centre, _directions(_centred(x, centre))[0]
+    return out
 
 
 FOUND = "query_class long, several boolean, own long, class_id long, score double"
@@ -124,7 +141,7 @@ def _search(k: int):
         file = np.searchsorted(pivot[order], np.arange(pivot.max() + 2))
         edges = np.r_[0, np.flatnonzero(np.diff(band[by_band])) + 1, n]
         sizes = np.diff(edges)
-        wanted = np.maximum(TIMES * (k + 1), np.ceil(max(SHARE, LEAST / n) * sizes).astype(np.int64))
+        wanted = np.maximum(TIMES * (k + 1), np.ceil(SHARE * sizes).astype(np.int64))
         whole = np.flatnonzero(np.repeat(sizes <= wanted, sizes))
         partly = [(edges[b], edges[b + 1], wanted[b]) for b in np.flatnonzero(sizes > wanted).tolist()]
         queries, numbers = _matrix(right.column("q_vector")), right.column(f"q_{ROW}").to_numpy()
@@ -190,11 +207,13 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
     second = members.filter("rank = 2").select(F.col("class_id").alias(ROW), F.col("vec_id").alias("second_id"))
     both = classes.join(second, ROW, "left").withColumn("second_id", F.coalesce("second_id", "first_id"))
     both = both.select(ROW, "vector", "dimension", "first_id", "second_id")
-    index = both.mapInArrow(_indexed(pivots), f"{ROW} long, vector array<double>, dimension int, first_id long, second_id long, band int, pivots binary")
-    index = staged(index, "index")
+    fields = f"{ROW} long, vector array<double>, dimension int, first_id long, second_id long, band int, pivots binary"
+    index = staged(both.mapInArrow(_indexed(pivots, True), fields), "index")
     counts = index.groupBy("dimension").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     sharded = index.join(counts, "dimension").withColumn("shard", F.pmod(F.xxhash64(ROW), F.col("shards")).cast("int"))
-    queries = index.join(asked.select(F.col("class_id").alias(ROW), "several", "own").distinct(), ROW)
+    units = asked.select(F.col("class_id").alias(ROW), "several", "own").distinct()
+    queries = both.join(units.select(ROW).distinct(), ROW).mapInArrow(_indexed(pivots, False), fields)
+    queries = staged(queries.join(units, ROW), "queries")
     blocks = queries.groupBy("dimension").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
     spread = queries.join(blocks, "dimension").join(counts, "dimension")
     spread = spread.withColumn("block", F.pmod(F.xxhash64(F.lit(1), ROW), F.col("blocks")).cast("int"))

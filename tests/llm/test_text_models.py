@@ -55,6 +55,19 @@ def test_languages_of_awkward_rows(awkward, nothing):
     assert all(r.lang_pred == "und" for r in language_id.digest(docs.withColumn("lang", docs.lang.substr(0, 0)).replace("", None, "lang")).collect())
 
 
+def test_a_column_with_more_languages_than_are_learned(spark):
+    """1,200 values: the 512 with most texts are learned, and every text gets one of them."""
+    rows = [(i, f"wort{i % 1200}x und nochmal wort{i % 1200}y", f"l{i % 1200:04}") for i in range(1200)]
+    rows += [(2000 + i, f"wort{i}x und dann wort{i}z", f"l{i:04}") for i in range(512)] + [(9000, None, "l0000"), (9001, "12", "l1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.learn(docs)
+    assert model.names == sorted(f"l{i:04}" for i in range(512))
+    got = {r.doc_id: r.lang_pred for r in language_id.digest(docs).collect()}
+    assert len(got) == len(rows) and got[9000] == got[9001] == "und"
+    assert set(got.values()) <= {row[2] for row in rows} | {"und"}
+    assert language_id.keep_known(docs).columns == docs.columns
+
+
 def test_spans_of_a_mixed_text(spark):
     german, french = "der die und nicht mit eine auch sich ", "les des pas dans pour avec être une "
     train = [(i, german * 20, "de") for i in range(8)] + [(100 + i, french * 20, "fr") for i in range(8)]
