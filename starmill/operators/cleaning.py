@@ -32,6 +32,20 @@ class CleanSpec:
     def canonicalize(self, raw: DataFrame) -> DataFrame:
         return headers.canonicalize(raw, self.aliases, self.required)
 
+    def canonicalize_each(self, raws: Sequence[DataFrame]) -> DataFrame:
+        """Several staged tables as one, each by its own headers; later tables count as later rows.
+
+        Spellings, order and number of columns may differ from table to table. A place is then the
+        table's number and the place in it.
+        """
+        if len(raws) == 1:
+            return self.canonicalize(raws[0])
+        numbered = []
+        for i, raw in enumerate(raws):
+            place = F.struct(F.lit(i).alias("delivery"), F.col(ORDINAL).cast("decimal(38,0)").alias("place"))
+            numbered.append(self.canonicalize(raw).withColumn(ORDINAL, place))
+        return reduce(DataFrame.unionByName, numbered)
+
 
 def _spec(aliases, required, fact: contracts.Table, parse_date) -> CleanSpec:
     measures = {c.name: c.dtype for c in fact.columns if isinstance(c.dtype, T.DecimalType)}

@@ -556,6 +556,14 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["loaded_dim_product"] = ORACLES["upsert_products"]
 
+ORACLES["revenue_two_spellings"] = ORACLES["revenue_load"]
+ORACLES["missing_headers"] = f"""
+WITH {_LINES}, n AS (SELECT count(*) AS n_rows FROM lines)
+SELECT staged, mart, "column", n_rows
+FROM n, (VALUES ('raw_sales', 'marketing', 'stage'), ('cut_sales', 'revenue', 'date'), ('cut_sales', 'revenue', 'region'),
+                ('cut_sales', 'marketing', 'date'), ('cut_sales', 'marketing', 'stage')) AS lacking(staged, mart, "column")
+"""
+
 # A report from the kept state gives the same rows as from the fact.
 ORACLES |= {
     f"kept_{name}": ORACLES[name]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -62,8 +62,11 @@ class LoadReport:
     rejected_by_reason: dict[str, int]
 
 
-def load(spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame, mode: str = "upsert") -> LoadReport:
+def load(
+    spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame | Sequence[DataFrame], mode: str = "upsert"
+) -> LoadReport:
     """Load one batch. ``mode="rebuild"`` starts from empty tables instead of the published ones.
+    A batch may be several staged tables with headers of their own, the latest last.
 
     The source is read and parsed once, into a table of complete rows and one of rejected rows with
     reasons, which becomes part of the run. The clean batch is written once too: every dimension and
@@ -72,7 +75,8 @@ def load(spark: SparkSession, config: MartConfig, mart: Mart, raw: DataFrame, mo
     meanwhile, this one merges its batch into the newer tables and follows as the later delivery; nothing
     is parsed again, and the files of the fact it wrote stay unless the other load met the same orders.
     """
-    parsed = cleaning.parse(cleaning.spread(mart.spec.canonicalize(raw)), mart.spec)
+    raws = [raw] if isinstance(raw, DataFrame) else list(raw)
+    parsed = cleaning.parse(cleaning.spread(mart.spec.canonicalize_each(raws)), mart.spec)
     path = shared.new_path(spark, f"load-{mart.name}")
     run = Warehouse(spark, config).start(rebuild=mode == "rebuild")
     try:
@@ -128,11 +132,12 @@ def run(
     **overrides,
 ) -> LoadReport:
     """From settings to a finished load: create the mart if need be, read the raw table that the
-    settings name (a catalog table, or files with ``RAW_PATH``), load it, and report."""
+    settings name (a catalog table, or files with ``RAW_PATH``, several paths after one another with
+    commas between, each with headers of its own), load it, and report."""
     config = MartConfig.from_settings(mart.name, settings, **overrides)
     create(spark, config, mart)
     if config.raw_path:
-        raw = read_raw(spark, config.raw_path, config.raw_format, config.raw_ordinal)
+        raw = [read_raw(spark, path.strip(), config.raw_format, config.raw_ordinal) for path in config.raw_path.split(",")]
     else:
         raw = read_raw(spark, table=config.raw_name, ordinal=config.raw_ordinal)
     return load(spark, config, mart, raw, mode)

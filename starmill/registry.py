@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,7 +15,7 @@ from starmill.functions import numbers
 from starmill.operators import checks, cleaning, dimensions, facts
 from starmill.operators.upsert import upsert
 from starmill.plans import loads, marketing_marts, revenue_marts
-from starmill.sources import shared
+from starmill.sources import headers, shared, testdata
 from starmill.sources.headers import ORDINAL
 from starmill.sources.warehouse import Warehouse
 from starmill.staging import clean_marketing, clean_sales
@@ -145,6 +146,31 @@ def revenue_load(spark: SparkSession, sf: str) -> DataFrame:
     return _deliver(spark, staging.sales_deliveries(spark, sf)).read(FACT_SALES)
 
 
+def revenue_two_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sales deliveries in one load, the second under other headers in another order."""
+    early, late = staging.sales_deliveries(spark, sf)
+    paths = []
+    for raw in (early, testdata.respelled(late)):
+        paths.append(shared.new_path(spark, "delivery"))
+        raw.write.parquet(paths[-1])
+    root = shared.new_path(spark, "warehouse")
+    settings = {"DB_SCHEMA_DWH": root, "RAW_ORDINAL": ORDINAL, "RAW_PATH": ",".join(paths)}
+    loads.run(spark, loads.REVENUE, settings)
+    return Warehouse(spark, MartConfig.from_settings("revenue", settings)).read(FACT_SALES)
+
+
+def missing_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Required columns that staged tables have no header for: the sales table read by the rules of
+    either mart, as it is and without two of its columns."""
+    whole = staging.raw_sales(spark, sf)
+    found = []
+    for name, raw in (("raw_sales", whole), ("cut_sales", whole.drop("ngay", "Vung"))):
+        for mart in (loads.REVENUE, loads.MARKETING):
+            lacking = headers.refused(raw, mart.spec.aliases, mart.spec.required)
+            found.append(lacking.select(F.lit(name).alias("staged"), F.lit(mart.name).alias("mart"), "column", "n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def revenue_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     """The second delivery loaded into a mart that starts anew; the first one is forgotten."""
     return _deliver(spark, staging.sales_deliveries(spark, sf), ("upsert", "rebuild")).read(FACT_SALES)
@@ -366,6 +392,8 @@ QUERIES: dict[str, Query] = {
     "upsert_products": upsert_products,
     "upsert_sparse_ids": upsert_sparse_ids,
     "revenue_load": revenue_load,
+    "revenue_two_spellings": revenue_two_spellings,
+    "missing_headers": missing_headers,
     "revenue_rebuild": revenue_rebuild,
     "revenue_empty_batch": revenue_empty_batch,
     "loaded_dim_branch": _loaded_dim(contracts.DIM_BRANCH),

@@ -102,6 +102,24 @@ def sales_batches(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return raw.filter(~late), raw.filter(late)
 
 
+# Other accepted spellings of headers of the raw sales table.
+RESPELLED = {
+    "Order ID": "ORDERID",
+    "ngay": "Date",
+    "Vung": "REGION",
+    "chi_nhanh": "Branch",
+    "San Pham": "product",
+    "Doanh Thu": "Revenue",
+    "Chi Phi": "COST",
+    "Chien Dich": "Promotion Campaign",
+}
+
+
+def respelled(raw: DataFrame) -> DataFrame:
+    """The same rows under other spellings, columns the other way round."""
+    return raw.select(*[F.col(f"`{c}`").alias(RESPELLED.get(c, c)) for c in reversed(raw.columns)])
+
+
 def raw_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One wide row per event; the event id is the row order."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

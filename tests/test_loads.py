@@ -13,7 +13,7 @@ from starmill.operators import checks, cleaning
 from starmill.operators.upsert import changed, upsert
 from starmill.plans import loads
 from starmill.sources import testdata
-from starmill.sources.headers import ORDINAL
+from starmill.sources.headers import ORDINAL, UnusableTable
 from starmill.sources.reader import read_raw
 from starmill.sources.warehouse import RunTaken, Warehouse
 
@@ -170,6 +170,19 @@ def test_source_is_read_once_per_load(spark, config, tmp_path):
     assert seen.value == len(FIRST)
 
 
+def test_staged_tables_with_headers_of_their_own(spark, config, rows):
+    """Other spellings, another order, a column more and one less; the later table has the last word."""
+    first = raw(spark, SALES, FIRST, start=1000)
+    second = raw(spark, ["revenue", "REGION", "Ngay", "orderid", "kenh"], [("12", "South", "2024-02-01", "1", "Shop"), ("5", "West", "2024-02-01", "77", None)])
+    report = loads.load(spark, config, loads.REVENUE, [first, second])
+    assert (report.raw, report.rejected, report.superseded, report.clean) == (7, 1, 2, 4)
+    fact = {r.order_id: r for r in Warehouse(spark, config).read(FACT_SALES).collect()}
+    assert (fact[1].region_name, fact[1].channel_name, fact[1].product_name) == ("South", "Shop", None)
+    assert set(fact) == {1, 2, 77, 900} and fact[900].region_name == "East"
+    with pytest.raises(UnusableTable, match="region"):
+        loads.load(spark, config, loads.REVENUE, [first, second.drop("REGION")])
+
+
 def test_rows_of_one_row_group_are_parsed_in_many_tasks(spark, tmp_path):
     """However the source is cut into tasks, no task parses much more than its share."""
     path = str(tmp_path / "one")
