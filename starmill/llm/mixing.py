@@ -2,8 +2,9 @@
 
 The size of a document is its number of words. Documents are counted by exact size; per source, a
 bounded knapsack over those counts says how many documents of each size the mix takes, and which
-ones is decided by a seeded hash. So only counts are ever gathered, and a source's taken words meet
-its target to the word wherever some subset of its documents can.
+ones is decided by a seeded hash. So only counts are ever gathered. A large budget is first met in
+proportion to the counts, up to the last ``DP_BUDGET`` words; these are met to the word wherever some
+subset of the documents that are left can.
 
 Documents of one size are dealt into ``SLOTS`` slots by hash, and the slots are counted too: whole
 slots are taken in order, and only one slot per source and size needs ranking. A source, or a size

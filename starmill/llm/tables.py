@@ -14,10 +14,10 @@ REST = "rest"
 TEXT = "text"
 
 
-# Folders of intermediate tables, by application: those that the running stage makes, and those the
-# stage before it left.
-_making: dict[str, list[str]] = {}
-_left: dict[str, list[str]] = {}
+# Folders of intermediate tables, and their names in the catalog if they have one, by application: those
+# that the running stage makes, and those the stage before it left.
+_making: dict[str, list[tuple[str, str | None]]] = {}
+_left: dict[str, list[tuple[str, str | None]]] = {}
 
 
 @contextmanager
@@ -28,7 +28,9 @@ def stage(spark: SparkSession):
     for the next. Tables made outside of stages are never touched.
     """
     app = spark.sparkContext.applicationId
-    for path in _left.pop(app, []):
+    for path, table in _left.pop(app, []):
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         shared.discard(spark, path)
     _making[app] = []
     try:
@@ -37,10 +39,10 @@ def stage(spark: SparkSession):
         _left[app] = _making.pop(app)
 
 
-def _new_path(spark: SparkSession, name: str) -> str:
+def _new_path(spark: SparkSession, name: str, table: str | None = None) -> str:
     path = shared.new_path(spark, name)
     if (made := _making.get(spark.sparkContext.applicationId)) is not None:
-        made.append(path)
+        made.append((path, table))
     return path
 
 
@@ -77,7 +79,7 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     spark = df.sparkSession
     table, buckets = f"starmill_{name}_{uuid.uuid4().hex}", partitions(spark)
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd")
-    writer.option("path", _new_path(spark, name)).format("parquet").saveAsTable(table)
+    writer.option("path", _new_path(spark, name, table)).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from cases import prose
 from test_decontaminate import brute as brute_contamination
 from test_dedup import brute_groups
@@ -105,6 +106,22 @@ def test_stages_on_planted_cases(spark, planted):
         assert abs(taken.get(source, 0) - target) <= longest
 
 
+def test_a_stage_deletes_what_the_one_before_left(spark):
+    """Folders and names in the catalog alike."""
+    from starmill.llm import tables
+    from starmill.sources import shared
+
+    with tables.stage(spark):
+        frame = spark.range(20).select(F.col("id").alias("row_id"), F.lit("x").alias("text"))
+        left = tables.bucketed(frame, "row_id", "left")
+        path = tables.staged(left, "copy").inputFiles()[0].rsplit("/", 1)[0]
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("starmill_left")]
+    assert len(names) == 1 and shared.exists(spark, path)
+    with tables.stage(spark):
+        assert not shared.exists(spark, path)
+        assert not spark.catalog.tableExists(names[0])
+
+
 def test_run_chains_the_stages(spark, planted):
     folder, _, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet")
