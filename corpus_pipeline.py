@@ -2,8 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes it as Parquet to
 the shared folder and reads it back as the next stage's documents. A stage begins by deleting the
-intermediate tables of the one before, so a result has to be written before the next stage is called. All but the last return the
-columns of ``documents``; each works on all that its predecessor kept:
+intermediate tables of the one before, so a result has to be written before the next stage is called.
+All but the last return the columns of ``documents``; each works on all that its predecessor kept:
 
 1. ``language_id`` drops documents without a letter or with less than half of their letters in one
    known language.
@@ -28,6 +28,7 @@ from starmill.llm.tables import stage, staged
 
 REPEATED_WORDS = 50
 
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with stage(spark):
         return language.keep_known(docs)
