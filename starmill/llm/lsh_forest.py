@@ -41,7 +41,7 @@ from starmill.llm.tables import REST, ROW, TEXT, bucketed, numbered, partitions,
 PERCENT = 85
 TREES, FIRST = 32, 4
 HASHES = TREES * FIRST
-DEPTHS = (4, 6, 9, 14, 24)
+DEPTHS = (4, 8, 16)
 CROWD = 12  # nodes of a region up to which all its pairs are tried
 ROUNDS, WORTH = 4, 20  # rounds with best-linked nodes, while one pair in so many is linked
 BEST = 2  # neighbours of a node that are confirmed before the others
@@ -278,21 +278,25 @@ class _Forest:
         return linked
 
     def best_first(self, pairs: DataFrame) -> None:
-        """Confirm each node's best neighbours, then those of the others that are still across components."""
+        """Confirm each node's best neighbours. What is still across components afterwards is tried with
+        the regions."""
         alike = self.alike(pairs)
         sides = alike.select("x", "y", "equal", F.explode(F.array("x", "y")).alias("node"))
         best = F.slice(F.sort_array(F.collect_list(F.struct("equal", F.xxhash64("x", "y"), "x", "y")), asc=False), 1, BEST)
         # a node has two neighbours in a tree
         top = sides.groupBy("node").agg(best.alias("best")).select(F.explode("best").alias("p")).select("p.x", "p.y").distinct()
-        self.confirm(top)
-        self.confirm(staged(self.across(alike), "others"))
+        self.confirm(staged(top, "best"))
 
     def open_regions(self, level: DataFrame) -> DataFrame:
-        """Members of regions that lie in several components, with label and size of the region."""
+        """Members of regions that lie in several components, with label and size of the region. Regions
+        with more than a ``1 / (4 * partitions)`` of all rows are joined from a broadcast table, which
+        holds at most as many rows as that; the others by an exchange."""
         named = staged(self.labelled(level, ROW, "label"), "named")
         sizes = named.groupBy("region").agg(F.count("*").alias("members"), F.min("label").alias("a"), F.max("label").alias("b"))
-        several = sizes.filter("a <> b").select("region", "members")
-        return staged(spread_join(named, staged(several, "several"), ["region"]).filter("members IS NOT NULL"), "open")
+        several = staged(sizes.filter("a <> b").select("region", "members"), "several")
+        most = named.count() // (4 * partitions(level.sparkSession)) + 1
+        large, others = several.filter(F.col("members") > most), several.filter(F.col("members") <= most)
+        return staged(named.join(F.broadcast(large), "region").unionByName(named.join(others, "region")), "open")
 
     def stars(self, level: DataFrame) -> None:
         """Try the nodes of open regions with the best-linked node of each that has not been tried."""
@@ -411,9 +415,7 @@ def forest_links(table: DataFrame, sets: DataFrame, classes: DataFrame, percent:
         if members.isEmpty():
             break
         large = members.filter(F.col("members") > crowd)
-        pairs = _crowded(members.filter(F.col("members") <= crowd))
-        if depth > DEPTHS[0]:
-            pairs = pairs.unionByName(_neighbours(large))
+        pairs = _crowded(members.filter(F.col("members") <= crowd)).unionByName(_neighbours(large))
         forest.confirm(forest.alike(pairs))
         more = _doubt(deeper, percent) - _doubt(depth, percent)
         doubts.append(large.groupBy(ROW).agg((F.count("*") * F.lit(more)).alias("doubt")))
