@@ -6,7 +6,7 @@ column. Row-level checks share one pass that shuffles a single row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -30,16 +30,16 @@ class ContractViolation(Exception):
 Test = tuple[str, str, str]
 
 
-def _tally(df: DataFrame, key: str, tests: list[Test]) -> DataFrame:
-    """Count the rows meeting each test in one aggregate, then turn the single row into one row per test."""
+def tally(df: DataFrame, key: str, tests: list[Test], by: Sequence[str] = ()) -> DataFrame:
+    """Count the rows meeting each test in one aggregate, then turn each of its rows (a single one, or one
+    for each group) into one row per test. The sample is the smallest key."""
     totals = [F.expr(f"count_if({cond}) AS n{i}") for i, (_, _, cond) in enumerate(tests)]
     samples = [F.expr(f"min(CASE WHEN {cond} THEN {key} END) AS k{i}") for i, (_, _, cond) in enumerate(tests)]
     rows = [
-        f"struct('{constraint}' AS constraint, '{column}' AS column, n{i} AS n_violations, "
-        f"CAST(k{i} AS STRING) AS sample_key)"
+        f"struct('{constraint}' AS constraint, '{column}' AS column, n{i} AS n_violations, k{i} AS sample_key)"
         for i, (constraint, column, _) in enumerate(tests)
     ]
-    return df.agg(*totals, *samples).select(F.expr(f"inline(array({', '.join(rows)}))"))
+    return df.groupBy(*by).agg(*totals, *samples).select(*by, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def not_null_tests(table: Table) -> list[Test]:
@@ -52,6 +52,11 @@ def length_tests(table: Table) -> list[Test]:
     ]
 
 
+def declared_tests(table: Table) -> list[Test]:
+    """K2 and K4."""
+    return not_null_tests(table) + length_tests(table)
+
+
 def overflow_tests(columns: list[str]) -> list[Test]:
     """On parsed or clean rows, whose ``_overflow`` lists the columns that did not fit."""
     return [("precision", c, f"find_in_set('{c}', {OVERFLOW}) > 0") for c in columns]
@@ -73,12 +78,20 @@ def generated_tests() -> list[Test]:
 
 def check_rows(df: DataFrame, table: Table, tests: list[Test] | None = None) -> DataFrame:
     """K2 and K4 of a table, or the given tests, in one pass."""
-    return _tally(df, table.key, not_null_tests(table) + length_tests(table) if tests is None else tests)
+    found = tally(df, table.key, declared_tests(table) if tests is None else tests)
+    return found.withColumn("sample_key", F.col("sample_key").cast("string"))
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:
     """K1. Counts combine before the shuffle, so a hot key travels as one row per task."""
-    repeated = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    return count_repeated(repeated_keys(df, key), key)
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+
+
+def count_repeated(repeated: DataFrame, key: str) -> DataFrame:
     return repeated.agg(
         F.lit("primary_key").alias("constraint"),
         F.lit(key).alias("column"),
@@ -93,25 +106,37 @@ def orphans(fact: DataFrame, table: Table, dims: Mapping[str, DataFrame]) -> Dat
     All keys are reduced to distinct (column, value) pairs in one pass before the anti join, so the
     join is between two key sets and neither size nor skew of the fact matters to it.
     """
-    refs = {c.name: c.references for c in table.columns if c.references and c.references[0] in dims}
-    used = (
-        fact.select(*[F.col(c).cast("string") for c in refs])
-        .unpivot([], list(refs), "column", "value")
-        .filter("value IS NOT NULL")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    return unknown_values(referring_values(fact, table, dims), table, dims)
+
+
+def references(table: Table, dims: Iterable[str]) -> dict[str, tuple[str, str]]:
+    """Foreign keys of a table into the given ones."""
+    return {c.name: c.references for c in table.columns if c.references and c.references[0] in dims}
+
+
+def referring_values(fact: DataFrame, table: Table, dims: Iterable[str], by: Sequence[str] = ()) -> DataFrame:
+    """Distinct (column, value) of the foreign keys and the rows that carry them, for each group."""
+    refs = list(references(table, dims))
+    used = fact.select(*by, *[F.col(c).cast("string") for c in refs]).unpivot(list(by), refs, "column", "value")
+    return used.filter("value IS NOT NULL").groupBy(*by, "column", "value").agg(F.count("*").alias("n_rows"))
+
+
+def unknown_values(used: DataFrame, table: Table, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Of (column, value, ...) those whose value no dimension row has."""
     known = [
         dims[dim].select(F.lit(column).alias("column"), F.col(key).cast("string").alias("value"))
-        for column, (dim, key) in refs.items()
+        for column, (dim, key) in references(table, dims).items()
     ]
     return used.join(reduce(DataFrame.unionByName, known), ["column", "value"], "left_anti")
 
 
 def check_references(fact: DataFrame, table: Table, dims: Mapping[str, DataFrame]) -> DataFrame:
     """K3, one row per foreign key, also for those without an orphan."""
-    refs = [c.name for c in table.columns if c.references and c.references[0] in dims]
-    found = orphans(fact, table, dims).agg(
+    return count_references(orphans(fact, table, dims), list(references(table, dims)))
+
+
+def count_references(orphaned: DataFrame, refs: Sequence[str]) -> DataFrame:
+    found = orphaned.agg(
         *[F.expr(f"coalesce(sum(n_rows) FILTER (WHERE column = '{c}'), 0) AS n{i}") for i, c in enumerate(refs)],
         *[F.expr(f"min(value) FILTER (WHERE column = '{c}') AS k{i}") for i, c in enumerate(refs)],
     )

@@ -557,6 +557,8 @@ ORACLES: dict[str, str] = {
 ORACLES["loaded_dim_product"] = ORACLES["upsert_products"]
 
 ORACLES["revenue_two_spellings"] = ORACLES["revenue_load"]
+ORACLES["kept_contract"] = ORACLES["declared_contract"]
+ORACLES["kept_length_violations"] = ORACLES["length_violations"]
 ORACLES["missing_headers"] = f"""
 WITH {_LINES}, n AS (SELECT count(*) AS n_rows FROM lines)
 SELECT staged, mart, "column", n_rows

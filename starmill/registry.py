@@ -14,7 +14,7 @@ from starmill.contracts import FACT_MARKETING, FACT_SALES
 from starmill.functions import numbers
 from starmill.operators import checks, cleaning, dimensions, facts
 from starmill.operators.upsert import upsert
-from starmill.plans import loads, marketing_marts, revenue_marts
+from starmill.plans import audit, loads, marketing_marts, revenue_marts
 from starmill.sources import headers, shared, testdata
 from starmill.sources.headers import ORDINAL
 from starmill.sources.warehouse import Warehouse
@@ -277,6 +277,34 @@ def declared_contract(spark: SparkSession, sf: str) -> DataFrame:
     return checks.audit(mart.read(FACT_SALES), FACT_SALES, dims, contracts.REVENUE_DIMS)
 
 
+def kept_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """The same contract audited after each of two loads; the second audit reads what the second load wrote."""
+    mart = _audited_between(spark, sf, lambda mart: audit.audit(mart, loads.REVENUE))
+    return audit.audit(mart, loads.REVENUE)
+
+
+def kept_length_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts over a tightened limit, counted file by file as two loads add and replace rows."""
+    texts = [c.name for c in FACT_SALES.columns if c.max_length]
+    tight = [("max_length", c, f"char_length({c}) > {TIGHT_LENGTH}") for c in texts]
+
+    def found(mart: Warehouse) -> DataFrame:
+        dims = {t.name: mart.read(t) for t in contracts.REVENUE_DIMS}
+        return audit.Auditor(mart, FACT_SALES, dims, tight).audit().filter("constraint = 'max_length'")
+
+    return found(_audited_between(spark, sf, found))
+
+
+def _audited_between(spark: SparkSession, sf: str, check: Callable[[Warehouse], DataFrame]) -> Warehouse:
+    """Both sales deliveries loaded, with an audit after the first."""
+    config = _warehouse(spark, "revenue")
+    early, late = staging.sales_deliveries(spark, sf)
+    loads.load(spark, config, loads.REVENUE, early)
+    check(Warehouse(spark, config))
+    loads.load(spark, config, loads.REVENUE, late)
+    return Warehouse(spark, config)
+
+
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of all orders that the dimensions of the early delivery do not know."""
     dims = dimensions.revenue_dims(clean_sales(spark, sf, "early"))
@@ -407,6 +435,8 @@ QUERIES: dict[str, Query] = {
     "length_violations": length_violations,
     "numeric_overflow": numeric_overflow,
     "declared_contract": declared_contract,
+    "kept_contract": kept_contract,
+    "kept_length_violations": kept_length_violations,
     "fk_orphans": fk_orphans,
     **REVENUE_MARTS,
     **MARKETING_MARTS,

@@ -98,6 +98,16 @@ class Warehouse:
             rows = rows.join(gone, [FILE, ROW], "left_anti")
         return rows
 
+    def holding(self, table: Table, files: Sequence[Data], keys: DataFrame, rows: int, low: int, high: int) -> list[Data]:
+        """Files that may hold a key of ``rows`` rows, by range and then by filter."""
+        near = [d for d in files if d.first <= high and d.last >= low]
+        if near and rows <= filters.LOOKED_UP:
+            by_size: dict[int, list[Data]] = {}
+            for d in near:
+                by_size.setdefault(_buckets(d), []).append(d)
+            near = [d for n, own in by_size.items() for d in filters.may_hold(self.spark, own, keys, table.key, n)]
+        return near
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete all but the last ``keep`` runs: their lists, and data that only they or failed runs
         wrote. Data of a run that may still be in progress, which has a higher number than any
@@ -225,23 +235,13 @@ class Run:
         half = self.config.entries_per_part // 2
         return [p for p in self.before.parts.get(name, ()) if p.meets(low, high) or p.least < self._half or p.files < half]
 
-    def _holding(self, table: Table, files: Sequence[Data], batch: DataFrame, rows: int, low: int, high: int) -> list[Data]:
-        """Files that may hold a key of the batch, by range and then by filter."""
-        near = [d for d in files if d.first <= high and d.last >= low]
-        if near and rows <= filters.LOOKED_UP:
-            by_size: dict[int, list[Data]] = {}
-            for d in near:
-                by_size.setdefault(_buckets(d), []).append(d)
-            near = [d for n, own in by_size.items() for d in filters.may_hold(self.warehouse.spark, own, batch, table.key, n)]
-        return near
-
     def _merged(self, table: Table, batch: DataFrame, rows: int, measures: Sequence[str]) -> Change:
         name, key, spark = self.config.table(table.name), table.key, self.warehouse.spark
         low, high = batch.agg(F.min(key), F.max(key)).first()
         if low is None:
             return Change(0, 0)
         known = self.manifest.entries(self._parts(name, low, high))
-        near = self._holding(table, known, batch, rows, low, high)
+        near = self.warehouse.holding(table, known, batch, rows, low, high)
         replaced, counts = None, {}
         if near:
             replaced = self._path(f"{table.name}_replaced")
@@ -306,7 +306,7 @@ class Run:
         if any(now.get(d.path) != d for d in change.removed) or any(path not in now for path in change.hits):
             return False
         new = [d for path, d in now.items() if path not in change.known]
-        near = self._holding(table, new, batch, rows, change.low, change.high)
+        near = self.warehouse.holding(table, new, batch, rows, change.low, change.high)
         if not near:
             return True
         return self.warehouse.placed(table, near, [table.key]).join(batch.select(table.key), table.key, "left_semi").isEmpty()
