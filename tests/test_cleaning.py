@@ -1,10 +1,12 @@
 import datetime
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from starmill.operators import cleaning
 from starmill.operators.cleaning import MARKETING, OVERFLOW, REVENUE
+from starmill.sources import testdata
 from starmill.sources.headers import ORDINAL
 
 FIELDS = ["order_id", "date", "region", "revenue", "branch", "cost"]
@@ -152,3 +154,38 @@ def test_split_sides_come_from_one_pass_and_lose_nothing(spark, tmp_path):
     assert cleaning.last_of(complete).count() == 5
     none, _ = cleaning.split(parsed.filter("false"), str(tmp_path / "none"))
     assert none.count() == 0 and none.schema == complete.schema
+
+
+def test_whole_rows_are_neither_sorted_nor_sent_to_find_the_last_of_an_order(spark, tmp_path):
+    """Several rows at one place, some of them alike, in several files and on both sides."""
+    rows = [(str(i % 40), "2024-01-01" if i % 7 else "bad", "abc"[i % 3], "1", None, None) for i in range(400)]
+    df = raw(spark, rows).withColumn(ORDINAL, (F.col(ORDINAL) % 90).cast("long"))
+    parsed = cleaning.parse(REVENUE.canonicalize(df.repartition(5, F.col(ORDINAL))), REVENUE)
+    complete, _ = cleaning.split(parsed, str(tmp_path / "parsed"))
+    out = cleaning.last_of(complete)
+    wide = cleaning._first_of(complete, "order_id", cleaning._latest_first(complete, ORDINAL)).drop(cleaning.LACKING)
+    assert out.columns == wide.columns and sorted(map(str, out.collect())) == sorted(map(str, wide.collect()))
+    plan = plan_of(out)
+    assert re.search(r"Project \[order_id#\d+L?, _at#\d+L?, _tie#\d+L?, _rank#\d+, _row#\d+L?\]", plan)
+    assert not list((tmp_path / "parsed").glob("_complete=*"))
+
+
+def test_rows_of_a_source_with_a_file_for_every_core_stay_where_they_are(spark, tmp_path):
+    rows = raw(spark, [(str(i), "2024-01-01", "N", "1", None, None) for i in range(100)])
+    cores = spark.sparkContext.defaultParallelism
+    for files, moved in ((cores, False), (1, True)):
+        rows.repartition(files).write.parquet(str(tmp_path / str(files)))
+        dealt = cleaning.spread(REVENUE.canonicalize(spark.read.parquet(str(tmp_path / str(files)))))
+        assert ("Exchange" in plan_of(dealt)) == moved and dealt.count() == 100
+
+
+def test_lines_of_the_raw_sales_move_twice(spark, sf_dir):
+    """Orders meet customers before lines, and nations come last, so wide rows meet no exchange but that by part."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(testdata.raw_sales(spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[(\w+?)#", plan)
+    assert joins == ["n_regionkey", "c_nationkey", "l_partkey", "l_orderkey", "o_custkey"]
