@@ -171,3 +171,21 @@ def test_vacuum_keeps_positions_filters_and_parts_in_use(spark, tmp_path):
     loaded(spark, config, range(7, 300, 30), "2024-04-01")
     fact = warehouse.read(FACT_SALES)
     assert fact.count() == 300 and [fact.filter(f"month(full_date) = {m}").count() for m in (2, 3, 4)] == [10, 10, 10]
+
+
+def test_live_rows_stay_in_their_tasks_however_many_are_deleted(spark, tmp_path):
+    """Deleted positions too many to be broadcast by their size are looked up as bitmaps."""
+    config = MartConfig(str(tmp_path), "revenue", rows_per_file=100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loaded(spark, config, range(300))
+        loaded(spark, config, range(0, 300, 3), "2024-02-01")
+        fact = Warehouse(spark, config).read(FACT_SALES)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        months = [r.full_date.month for r in fact.orderBy("order_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert any(d.deletes for d in fact_files(spark, config))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert months == [2 if i % 3 == 0 else 1 for i in range(300)]
