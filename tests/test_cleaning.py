@@ -4,9 +4,10 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from starmill import registry, staging
 from starmill.operators import cleaning
 from starmill.operators.cleaning import MARKETING, OVERFLOW, REVENUE
-from starmill.sources import testdata
+from starmill.sources import shared, testdata
 from starmill.sources.headers import ORDINAL
 
 FIELDS = ["order_id", "date", "region", "revenue", "branch", "cost"]
@@ -189,3 +190,53 @@ def test_lines_of_the_raw_sales_move_twice(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[(\w+?)#", plan)
     assert joins == ["n_regionkey", "c_nationkey", "l_partkey", "l_orderkey", "o_custkey"]
+
+
+def test_clean_rows_are_not_written_a_second_time(spark, tmp_path):
+    """Only the bitmaps of the rows that win are written; places across several words and bitmaps."""
+    n = 70_000
+    df = spark.range(n, numPartitions=1).select(
+        F.col("id").alias(ORDINAL), (F.col("id") % 60_000).cast("string").alias("order_id"),
+        F.lit("2024-01-01").alias("date"), F.col("id").cast("string").alias("region"), F.lit("1").alias("revenue"),
+    )
+    complete, _ = cleaning.split(cleaning.parse(REVENUE.canonicalize(df), REVENUE), str(tmp_path / "parsed"))
+    out = cleaning.staged_last_of(complete, str(tmp_path / "last"))
+    written = spark.read.parquet(str(tmp_path / "last"))
+    assert set(written.columns) == {"_file", "_block", "_bits"} and written.count() == 3
+    assert out.columns == cleaning.last_of(complete).columns
+    assert out.count() == 60_000 and out.filter(F.col("region") != F.col(ORDINAL).cast("string")).isEmpty()
+    assert out.agg(F.min(ORDINAL)).first()[0] == 10_000
+
+
+def test_days_of_the_raw_sales_are_written_as_a_formatter_does(spark):
+    days = spark.sql("SELECT explode(array('0999-03-04', '1998-12-31', '2024-02-09', null)) AS day UNION ALL SELECT '+10000-01-05'")
+    days = days.select(F.col("day").cast("date").alias("day"))
+    shapes = ("yyyy-MM-dd", "dd/MM/yyyy", "d/M/yyyy", "MM/dd/yyyy")
+    pairs = [testdata._day_text(F.col("day"), s).eqNullSafe(F.date_format("day", s)) for s in shapes]
+    plan = plan_of(days.select(testdata._day_text(F.col("day"), "yyyy-MM-dd")))
+    assert days.filter(~(pairs[0] & pairs[1] & pairs[2] & pairs[3])).isEmpty() and "CASE WHEN" in plan
+
+
+def test_deliveries_are_loaded_from_the_staged_files(spark, sf_dir):
+    """The raw table is staged with a folder for each delivery; no query writes them again."""
+    early, late = staging.sales_files(spark, sf_dir)
+    whole = staging.all_sales_files(spark, sf_dir)
+    assert early.startswith(whole) and late.startswith(whole) and early != late
+    expected = testdata.sales_batches(testdata.raw_sales(spark, sf_dir))
+    for path, frame, rows in zip((early, late), staging.sales_deliveries(spark, sf_dir), expected, strict=True):
+        found = spark.read.parquet(path)
+        assert found.columns == frame.columns == rows.columns and found.count() > 0
+        assert found.exceptAll(rows).isEmpty() and rows.exceptAll(frame).isEmpty() and frame.exceptAll(found).isEmpty()
+    staged = f"{shared.shared_folder(spark)}/starmill"
+    before = [n for n in shared.children(spark, staged) if n.startswith("delivery-")]
+    assert registry.revenue_load(spark, sf_dir).count() > 0
+    assert [n for n in shared.children(spark, staged) if n.startswith("delivery-")] == before
+
+
+def test_folders_are_written_side_by_side_without_a_sort(spark, tmp_path):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).cast("string").alias("side"))
+    back = shared.materialize(df, str(tmp_path / "sides"), by="side")
+    assert back.dtypes == df.dtypes and back.exceptAll(df).isEmpty() and back.count() == 100
+    assert spark.conf.get(setting) == before
