@@ -189,3 +189,20 @@ def test_live_rows_stay_in_their_tasks_however_many_are_deleted(spark, tmp_path)
     assert any(d.deletes for d in fact_files(spark, config))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert months == [2 if i % 3 == 0 else 1 for i in range(300)]
+
+
+def test_a_large_fact_is_not_written_anew_for_the_number_of_its_deleted_rows(spark, tmp_path):
+    """Millions of deleted rows, as a large fact has them, in files that are more than half full."""
+    config = MartConfig(str(tmp_path), "revenue", rows_per_file=100)
+    loaded(spark, config, range(400))
+    loaded(spark, config, range(0, 400, 40), "2024-02-01")
+    run = Warehouse(spark, config).start()
+    run.parts = {name: tuple(replace(p, deleted=p.deleted + (1 << 21)) for p in own) for name, own in run.parts.items()}
+    run.publish()
+    before = {d.path for d in fact_files(spark, config)}
+    loaded(spark, config, range(1, 400, 40), "2024-03-01")
+    files = fact_files(spark, config)
+    kept = {d.path for d in files if d.rows == 100}
+    assert len(kept & before) == 4 and sum(d.deleted for d in files if d.path in kept) == 20
+    fact = Warehouse(spark, config).read(FACT_SALES)
+    assert fact.count() == 400 and [fact.filter(f"month(full_date) = {m}").count() for m in (2, 3)] == [10, 10]
